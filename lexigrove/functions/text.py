@@ -10,7 +10,7 @@ from pyspark.sql import Column, functions as F
 
 from lexigrove.functions.constants import JSON_TEXT_FIELDS, TOKEN_STOP_WORDS
 
-SPACE = r"\s\p{Z}\x1c-\x1f\x85"
+SPACE = r"\s\x0b\p{Z}\x1c-\x1f\x85"
 WORD_CHAR = r"\p{L}\p{N}_"
 
 

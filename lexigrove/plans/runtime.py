@@ -67,7 +67,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
 
 def estimated_bytes(df: DataFrame) -> int:
     """Size estimate of the optimiser; no job runs."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
