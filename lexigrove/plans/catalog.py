@@ -398,18 +398,24 @@ def latency_stats(spark, sf_dir):
     return stats.select("event_type", "runs", *rounded(9, "mean"), *rounded(6, "std"), "min", "max", *rounded(6, "total"))
 
 
+def _settled_mean() -> list[Column]:
+    """The total settled at six digits and its mean, which then needs no rounding of its own."""
+    settled = F.round("cumulative", 6)
+    return [settled.alias("cumulative"), (settled / F.col("ordinal")).alias("running_mean")]
+
+
 @query
 def cumulative_latency(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_type", "ts", "event_id", "value")
     totals = RU.running_totals(events, "value", ["ts", "event_id"], run="event_type")
-    return totals.select("event_type", "event_id", "ordinal", *rounded(6, "cumulative"), *rounded(9, "running_mean"))
+    return totals.select("event_type", "event_id", "ordinal", *_settled_mean())
 
 
 @query
 def latency_milestones(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("ts", "event_id", "value")
     rows = RU.milestones(RU.running_totals(events, "value", ["ts", "event_id"]))
-    return rows.select("ordinal", "event_id", "total_documents", *rounded(6, "cumulative"), *rounded(9, "running_mean"))
+    return rows.select("ordinal", "event_id", "total_documents", *_settled_mean())
 
 
 def experiment_runs(spark, sf_dir):

@@ -262,12 +262,12 @@ SELECT event_type, count(*) AS runs, round(avg(value), 9) AS mean, round(stddev_
   round(sum(value), 6) AS total FROM events GROUP BY event_type"""
 ORACLES["cumulative_latency"] = """
 SELECT event_type, event_id, row_number() OVER w AS ordinal, round(sum(value) OVER w, 6) AS cumulative,
-  round(sum(value) OVER w / row_number() OVER w, 9) AS running_mean
+  round(sum(value) OVER w, 6) / row_number() OVER w AS running_mean
 FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)"""
 ORACLES["latency_milestones"] = """
 WITH t AS (SELECT event_id, row_number() OVER w AS ordinal, count(*) OVER () AS total_documents, sum(value) OVER w AS c
   FROM events WINDOW w AS (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING))
-SELECT ordinal, event_id, total_documents, round(c, 6) AS cumulative, round(c / ordinal, 9) AS running_mean FROM t
+SELECT ordinal, event_id, total_documents, round(c, 6) AS cumulative, round(c, 6) / ordinal AS running_mean FROM t
 WHERE ordinal = total_documents OR ordinal % CASE WHEN total_documents <= 50 THEN 10 WHEN total_documents <= 200 THEN 25
   WHEN total_documents <= 500 THEN 50 WHEN total_documents <= 1000 THEN 100 ELSE 250 END = 0"""
 
