@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lexigrove.functions import text as X
 from lexigrove.functions.constants import TOPIC_PREFIXES, UNKNOWN_FORMAT
-from lexigrove.operators.tfidf import document_count, idf, place_tokens, term_frequency
-from lexigrove.plans.runtime import broadcast_if_small
+from lexigrove.operators.tfidf import DOCUMENT_MARK, idf, marked_count, marked_term_frequency, place_tokens
+from lexigrove.plans.runtime import broadcast_if_small, materialize
 
 WEIGHT_DIGITS = 9
 
@@ -26,15 +26,14 @@ def cluster_term_weights(tokens: DataFrame, *, doc_id: str = "doc_id") -> DataFr
     of documents, so documents and terms never have to be joined.
     """
     placed = place_tokens(tokens, doc_id=doc_id, keep=("cluster_id",))
-    tf = term_frequency(placed, doc_id=doc_id, keep=("cluster_id",))
+    tf = marked_term_frequency(placed, doc_id=doc_id, keep=("cluster_id",))
     by_cluster = tf.groupBy("cluster_id", "term").agg(F.sum("tf").alias("tf"), F.count("*").alias("docs"))
-    # count_if over the token column keeps the exchange equal to the one above
-    sizes = placed.groupBy("cluster_id").agg(
-        F.count_if((F.size("tokens") > 0) | F.col(doc_id).isNull()).alias("n_docs")
-    )
     vocabulary = by_cluster.groupBy("term").agg(F.sum("docs").alias("df"))
-    n_documents = document_count(placed, doc_id=doc_id, keep=("cluster_id",))
-    weighted = by_cluster.join(vocabulary, "term").join(sizes, "cluster_id")
+    sizes = by_cluster.groupBy("cluster_id").agg(
+        F.max(F.when(F.col("term") == DOCUMENT_MARK, F.col("docs"))).alias("n_docs")
+    )
+    n_documents = marked_count(vocabulary, "df")
+    weighted = by_cluster.filter(F.col("tf") > 0).join(vocabulary, "term").join(sizes, "cluster_id")
     return weighted.select(
         "cluster_id", "term",
         F.round(F.col("tf") * idf(n_documents, F.col("df")) / F.col("n_docs"), WEIGHT_DIGITS).alias("weight"),
@@ -149,10 +148,12 @@ def describe_clusters(
 
     ``text`` is the cleaned text the terms come from, ``raw_text`` the one snippets are cut from.
     """
-    tokens = documents.select(doc_id, "cluster_id", X.tokenize_clean(text).alias("tokens")).filter(F.size("tokens") > 0)
+    tokens = documents.select(doc_id, "cluster_id", X.tokenize_clean(text).alias("tokens"))
     weights = cluster_term_weights(tokens, doc_id=doc_id)
-    ranked = top_terms(weights, n_terms)
-    terms = term_list(ranked)
+    # a few terms per cluster, read by the labels and by the snippets
+    terms = materialize(
+        centroid_norms(weights).join(term_list(top_terms(weights, n_terms)), "cluster_id", "left")
+    )
     firsts = first_texts(documents, 10, list(dict.fromkeys([raw_text, text])), doc_id=doc_id)
     cut = snippets(firsts, terms, doc_id=doc_id, raw_text=raw_text, n_snippets=n_snippets)
     cut_lists = cut.groupBy("cluster_id").agg(
@@ -164,13 +165,12 @@ def describe_clusters(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("format", "n")))).alias("formats")
     )
     basics = average_length(documents, words=words)
-    total = documents.agg(F.count("*")).scalar()
+    total = basics.agg(F.sum("size")).scalar()
     joined = (
         basics.join(terms, "cluster_id", "left")
         .join(topic_prefixes(firsts, text=text), "cluster_id", "left")
         .join(formats, "cluster_id", "left")
         .join(cut_lists, "cluster_id", "left")
-        .join(centroid_norms(weights), "cluster_id", "left")
     )
     names = F.coalesce(F.transform("top_terms", lambda t: t["term"]), F.array().cast("array<string>"))
     return joined.select(

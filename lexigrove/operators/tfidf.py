@@ -8,6 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 NUM_FEATURES = 5000
+DOCUMENT_MARK = ""
 
 
 def place_tokens(tokens: DataFrame, *, doc_id: str = "doc_id", keep: tuple = ()) -> DataFrame:
@@ -20,21 +21,31 @@ def place_tokens(tokens: DataFrame, *, doc_id: str = "doc_id", keep: tuple = ())
     return tokens.select(doc_id, *keep, "tokens").repartition(doc_id)
 
 
-def document_count(placed: DataFrame, *, doc_id: str = "doc_id", keep: tuple = ()) -> Column:
-    """Number of documents as a scalar subquery.
-
-    It names every column, so that its exchange is the one the other users of ``placed`` read.
-    """
-    seen = F.size("tokens") > 0
-    for name in (doc_id, *keep):
-        seen = seen | F.col(name).isNull()
-    return placed.agg(F.count_if(seen)).scalar()
+def _terms(placed: DataFrame, doc_id: str, keep: tuple, tokens: Column) -> DataFrame:
+    # The outer form keeps the optimiser from filtering on the size of the list below the shuffle,
+    # where it would have to build the list twice.
+    rows = placed.select(doc_id, *keep, F.explode_outer(tokens).alias("term"))
+    return rows.filter(F.col("term").isNotNull()).groupBy(doc_id, *keep, "term")
 
 
 def term_frequency(placed: DataFrame, *, doc_id: str = "doc_id", keep: tuple = ()) -> DataFrame:
     """``(doc_id, *keep, term, tf)`` of token lists from ``place_tokens``."""
-    exploded = placed.select(doc_id, *keep, F.explode("tokens").alias("term"))
-    return exploded.groupBy(doc_id, *keep, "term").agg(F.count("*").alias("tf"))
+    return _terms(placed, doc_id, keep, F.col("tokens")).agg(F.count("*").alias("tf"))
+
+
+def marked_term_frequency(placed: DataFrame, *, doc_id: str = "doc_id", keep: tuple = ()) -> DataFrame:
+    """``term_frequency`` with one more row per document: the empty term, with a frequency of 0.
+
+    Its document frequency is the number of documents, so one pass over the tokens gives both.
+    """
+    marker = F.when(F.size("tokens") > 0, F.array(F.lit(DOCUMENT_MARK))).otherwise(F.array().cast("array<string>"))
+    counted = F.count_if(F.col("term") != DOCUMENT_MARK)
+    return _terms(placed, doc_id, keep, F.concat("tokens", marker)).agg(counted.alias("tf"))
+
+
+def marked_count(counts: DataFrame, column: str) -> Column:
+    """The number of documents out of counts per term, as a scalar subquery."""
+    return counts.agg(F.max(F.when(F.col("term") == DOCUMENT_MARK, F.col(column)))).scalar()
 
 
 def document_frequency(tf: DataFrame) -> DataFrame:
@@ -51,16 +62,15 @@ def tfidf(tokens: DataFrame, *, doc_id: str = "doc_id", max_terms: int | None =
     """``(doc_id, term, tf, df, tfidf)`` over the true vocabulary.
 
     ``max_terms`` keeps the vocabulary's most frequent terms only, as a bounded baseline does.
-    The corpus size is one row, read by a scalar subquery rather than joined.
     """
-    placed = place_tokens(tokens, doc_id=doc_id)
-    tf = term_frequency(placed, doc_id=doc_id)
+    tf = marked_term_frequency(place_tokens(tokens, doc_id=doc_id), doc_id=doc_id)
     vocabulary = document_frequency(tf)
+    n_documents = marked_count(vocabulary, "df")
     if max_terms is not None:
         totals = tf.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("total"))
+        n_documents = marked_count(totals, "df")
         vocabulary = totals.orderBy(F.desc("total"), "term").limit(max_terms).select("term", "df")
-    n_documents = document_count(placed, doc_id=doc_id)
-    return tf.join(vocabulary, "term").select(
+    return tf.filter(F.col("tf") > 0).join(vocabulary, "term").select(
         doc_id, "term", "tf", "df", (F.col("tf") * idf(n_documents, F.col("df"))).alias("tfidf")
     )
 

@@ -16,14 +16,14 @@ def tokenize_documents(
     """``(doc_id, *keep, tokens)`` of the documents that have at least one token.
 
     ``clean`` runs ``clean_text`` first, which glues ``foo-bar`` to one word; the plain form
-    works on the raw text.
+    works on the raw text. Blank documents fall out with the ones that have no token. The list is
+    unpacked from a one-element array instead of filtered, because a filter on its size would
+    evaluate the whole tokeniser a second time.
     """
     tokens = X.tokenize_clean(X.clean_text(text)) if clean else X.tokenize(text)
-    return (
-        documents.filter(~X.is_blank(text))
-        .select(doc_id, *keep, tokens.alias("tokens"))
-        .filter(F.size("tokens") > 0)
-    )
+    packed = F.filter(F.array(F.coalesce(tokens, F.array().cast("array<string>"))), lambda t: F.size(t) > 0)
+    unpacked = documents.select(doc_id, *keep, F.explode_outer(packed).alias("tokens"))
+    return unpacked.filter(F.col("tokens").isNotNull())
 
 
 def document_filter_counts(documents: DataFrame, *, text: str = "text") -> DataFrame:

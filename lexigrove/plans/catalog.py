@@ -32,7 +32,7 @@ def rounded(digits: int, *names: str) -> list[Column]:
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents").select("doc_id", *columns), "doc_id")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", *columns))
 
 
 def clustered(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:

@@ -70,9 +70,9 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
     """Spread an input of few splits over all cores; a large input keeps its own splits."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     if estimated_bytes(df) < cores * SMALL_INPUT_BYTES_PER_CORE:
-        return df.repartition(cores, key)
+        return df.repartition(cores)
     return df
