@@ -11,6 +11,7 @@ from pyspark.ml.feature import HashingTF, IDF, Normalizer
 from pyspark.sql import DataFrame, functions as F
 
 from lexigrove.functions import text as X, vectors as V
+from lexigrove.operators.tokens import tokenize_documents
 
 DIMENSION = 384
 BATCH_SIZE = 32
@@ -19,8 +20,7 @@ TextEncoder = Callable[[list[str]], np.ndarray]
 
 
 def _with_tokens(texts: DataFrame, text: str) -> DataFrame:
-    tokens = F.when(X.is_blank(text), F.array().cast("array<string>")).otherwise(X.tokenize(text))
-    return texts.withColumn("tokens", tokens)
+    return texts.withColumn("tokens", X.tokenize(F.coalesce(text, F.lit(""))))
 
 
 def fit_encoder(documents: DataFrame, *, text: str = "text", dimension: int = DIMENSION) -> PipelineModel:
@@ -28,7 +28,7 @@ def fit_encoder(documents: DataFrame, *, text: str = "text", dimension: int = DI
 
     Save it with the store, because queries must be encoded with the same weights.
     """
-    tokens = _with_tokens(documents.select(text), text).filter(F.size("tokens") > 0).select("tokens")
+    tokens = tokenize_documents(documents, text=text, doc_id=text).select("tokens")
     return Pipeline(
         stages=[
             HashingTF(inputCol="tokens", outputCol="_tf", numFeatures=dimension),
@@ -64,4 +64,4 @@ def embed(
 
 def embedding_rows(embeddings: DataFrame, doc_id: str) -> DataFrame:
     """Non-zero entries as ``(doc_id, dim, value)`` rows."""
-    return embeddings.select(doc_id, F.posexplode("embedding").alias("dim", "value")).filter(F.col("value") != 0)
+    return embeddings.select(doc_id, F.posexplode_outer("embedding").alias("dim", "value")).filter(F.col("value") != 0)

@@ -161,7 +161,7 @@ def _by_blocks(
 
     def blocks(df: DataFrame, limit: int, name: str) -> DataFrame:
         size = F.sum(F.size("vector").cast("long") * 8)
-        return df.groupBy("key").agg(F.ceil(size / F.lit(limit)).cast("int").alias(name))
+        return df.groupBy("key").agg(F.ceil(size / F.lit(limit)).cast("long").alias(name))
 
     layout = blocks(queries, query_bytes, "n_query").join(blocks(items, item_bytes, "n_item"), "key")
 
@@ -170,7 +170,7 @@ def _by_blocks(
         return (
             df.join(layout, "key")
             .withColumn(own_block, F.pmod(F.xxhash64("id"), F.col(own)))
-            .withColumn(other_block, F.explode(F.sequence(F.lit(0), F.col(other) - 1)).cast("long"))
+            .withColumn(other_block, F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)))
             .select("id", "key", "vector", "query_block", "item_block")
         )
 

@@ -27,7 +27,10 @@ def cluster_term_weights(tokens: DataFrame, *, doc_id: str = "doc_id") -> DataFr
     """
     placed = place_tokens(tokens, doc_id=doc_id, keep=("cluster_id",))
     tf = marked_term_frequency(placed, doc_id=doc_id, keep=("cluster_id",))
-    by_cluster = tf.groupBy("cluster_id", "term").agg(F.sum("tf").alias("tf"), F.count("*").alias("docs"))
+    # stored, because all that follows reads these far fewer rows and not the documents again
+    by_cluster = materialize(
+        tf.groupBy("cluster_id", "term").agg(F.sum("tf").alias("tf"), F.count("*").alias("docs"))
+    )
     vocabulary = by_cluster.groupBy("term").agg(F.sum("docs").alias("df"))
     sizes = by_cluster.groupBy("cluster_id").agg(
         F.max(F.when(F.col("term") == DOCUMENT_MARK, F.col("docs"))).alias("n_docs")
@@ -118,7 +121,7 @@ def snippets(
     """
     words = terms.select("cluster_id", F.slice(F.transform("top_terms", lambda t: t["term"]), 1, 5).alias("words"))
     pieces = first_texts.filter(F.col("place") <= n_docs).select(
-        "cluster_id", doc_id, F.posexplode(X.sentences(raw_text)).alias("pos", "snippet")
+        "cluster_id", doc_id, F.posexplode_outer(X.sentences(raw_text)).alias("pos", "snippet")
     )
     fitting = pieces.withColumn("n_words", X.word_count("snippet")).filter(F.col("n_words").between(21, 49))
     hits = fitting.join(words, "cluster_id").filter(X.contains_any("snippet", F.col("words")))

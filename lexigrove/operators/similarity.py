@@ -173,6 +173,6 @@ def similar_documents(
     own = owners.join(lists, "rep").select(
         "doc_id", F.slice(F.filter("near", lambda e: e["other_id"] != F.col("doc_id")), 1, k).alias("near")
     )
-    return own.select("doc_id", F.posexplode("near").alias("pos", "e")).select(
+    return own.select("doc_id", F.posexplode_outer("near").alias("pos", "e")).filter(F.col("e").isNotNull()).select(
         "doc_id", (F.col("pos") + 1).alias("rank"), F.col("e.other_id").alias("other_id"), (-F.col("e.far")).alias("similarity")
     )

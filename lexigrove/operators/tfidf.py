@@ -101,7 +101,7 @@ def hashed_tfidf(
 
 def feature_rows(features: DataFrame, *, doc_id: str = "doc_id", column: str = "features") -> DataFrame:
     """Vectors as ``(doc_id, feature, weight)`` rows of their non-zero entries."""
-    entries = features.select(doc_id, F.posexplode(vector_to_array(column)).alias("feature", "weight"))
+    entries = features.select(doc_id, F.posexplode_outer(vector_to_array(column)).alias("feature", "weight"))
     return entries.filter(F.col("weight") != 0)
 
 

@@ -40,7 +40,8 @@ def document_filter_counts(documents: DataFrame, *, text: str = "text") -> DataF
 def ngram_counts(tokens: DataFrame, n: int = 2) -> DataFrame:
     """``(ngram, n)`` over the whole corpus; equal n-grams combine before the shuffle."""
     grams = NGram(n=n, inputCol="tokens", outputCol="ngrams").transform(tokens)
-    return grams.select(F.explode("ngrams").alias("ngram")).groupBy("ngram").agg(F.count("*").alias("n"))
+    rows = grams.select(F.explode_outer("ngrams").alias("ngram")).filter(F.col("ngram").isNotNull())
+    return rows.groupBy("ngram").agg(F.count("*").alias("n"))
 
 
 def lemmatize_documents(
