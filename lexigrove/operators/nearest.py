@@ -15,7 +15,7 @@ holds a large share of the items only means more blocks.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +32,7 @@ _RESULT = "query_id long, item_id long, score double"
 _RESULT_ARROW = pa.schema([("query_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64())])
 
 
-@dataclass
-class _Block:
+class _Block(NamedTuple):
     ids: np.ndarray
     keys: np.ndarray
     vectors: np.ndarray
@@ -124,14 +123,14 @@ def _bytes(df: DataFrame) -> tuple[int, int]:
 
 
 def _by_broadcast_items(queries: DataFrame, items: DataFrame, k: int, metric: str) -> DataFrame:
-    held = queries.sparkSession.sparkContext.broadcast(_to_block(items.toArrow()))
+    held = queries.sparkSession.sparkContext.broadcast(tuple(_to_block(items.toArrow())))
 
     def answer(batches):
         for batch in batches:
             if batch.num_rows:
                 asked = _to_block(batch)
                 best = _Best(len(asked.ids), k)
-                _search(best, asked, held.value, metric)
+                _search(best, asked, _Block(*held.value), metric)
                 yield best.to_arrow(asked.ids)
 
     return queries.mapInArrow(answer, _RESULT)
@@ -139,18 +138,19 @@ def _by_broadcast_items(queries: DataFrame, items: DataFrame, k: int, metric: st
 
 def _by_broadcast_queries(queries: DataFrame, items: DataFrame, k: int, metric: str) -> DataFrame:
     asked = _to_block(queries.toArrow())
-    held = queries.sparkSession.sparkContext.broadcast(asked)
-    wanted = [int(v) for v in np.unique(asked.keys)]
+    held = queries.sparkSession.sparkContext.broadcast(tuple(asked))
+    keys = [int(v) for v in np.unique(asked.keys)]
 
     def scan(batches):
-        best = _Best(len(held.value.ids), k)
+        wanted = _Block(*held.value)
+        best = _Best(len(wanted.ids), k)
         for batch in batches:
             if batch.num_rows:
-                _search(best, held.value, _to_block(batch), metric)
-        yield best.to_arrow(held.value.ids)
+                _search(best, wanted, _to_block(batch), metric)
+        yield best.to_arrow(wanted.ids)
 
-    if len(wanted) <= 1000:
-        items = items.filter(F.col("key").isin(wanted))
+    if len(keys) <= 1000:
+        items = items.filter(F.col("key").isin(keys))
     return items.mapInArrow(scan, _RESULT)
 
 

@@ -1,4 +1,7 @@
+import sys
+
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from lexigrove.operators import encoder as E
@@ -7,6 +10,8 @@ from lexigrove.sources import tables
 from lexigrove.operators import evaluate as V
 from lexigrove.streaming import embed as ST
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def length_encoder(texts):
     return np.array([[len(t), 1.0] for t in texts], dtype=np.float32)
