@@ -55,7 +55,7 @@ def silhouette(assigned: DataFrame) -> float:
 def cluster_stats(assigned: DataFrame) -> DataFrame:
     """``(cluster_id, size, percentage)``. Members stay rows of the assignment table."""
     sizes = assigned.groupBy("cluster_id").agg(F.count("*").alias("size"))
-    total = assigned.agg(F.count("*")).scalar()
+    total = sizes.agg(F.sum("size")).scalar()
     return sizes.withColumn("percentage", F.col("size").cast("double") / total * 100)
 
 

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lexigrove.plans.runtime import BROADCAST_BYTES
+from lexigrove.plans.runtime import BROADCAST_BYTES, broadcast_if_small, materialize
 
 # Scores are compared at this precision, so that equal vectors tie whatever the summing order.
 SCORE_DIGITS = 9
@@ -163,7 +163,10 @@ def _by_blocks(
         size = F.sum(F.size("vector").cast("long") * 8)
         return df.groupBy("key").agg(F.ceil(size / F.lit(limit)).cast("long").alias(name))
 
-    layout = blocks(queries, query_bytes, "n_query").join(blocks(items, item_bytes, "n_item"), "key")
+    # one row per key; without a key it is a single row, which no shuffle by key may meet
+    layout = broadcast_if_small(
+        blocks(queries, query_bytes, "n_query").join(blocks(items, item_bytes, "n_item"), "key")
+    )
 
     def cut(df: DataFrame, own: str, other: str) -> DataFrame:
         own_block, other_block = own.replace("n_", "") + "_block", other.replace("n_", "") + "_block"
@@ -239,7 +242,8 @@ def nearest_of_few(
 
     Where the items turn out to exceed the bound, the general form takes over.
     """
-    stored = _prepared(items, item_id, item_vector, None)
+    # computed once: the size check and the broadcast read the stored rows
+    stored = materialize(_prepared(items, item_id, item_vector, None))
     if _bytes(stored)[1] > broadcast_bytes:
         return nearest(
             queries, items, k, metric=metric, query_id=query_id, item_id=item_id,

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from lexigrove.functions import vectors as V
 from lexigrove.functions.constants import UNASSIGNED_CLUSTER
 from lexigrove.operators.nearest import nearest, nearest_of_few
+from lexigrove.plans.runtime import materialize
 
 
 def assign_clusters(embeddings: DataFrame, assignments: DataFrame, *, doc_id: str = "doc_id") -> DataFrame:
@@ -70,7 +71,7 @@ def cluster_aware_search(
     Where the store is a table partitioned by cluster, the chosen clusters become a partition
     filter of its scan.
     """
-    chosen = select_cluster(queries, centers, query_id=query_id)
+    chosen = materialize(select_cluster(queries, centers, query_id=query_id))
     placed = queries.join(chosen, query_id)
     found = nearest(placed, store, k, metric="l2", query_id=query_id, key="cluster_id", **names)
     return found.withColumnRenamed("score", "distance").join(chosen, query_id)
@@ -88,7 +89,7 @@ def documents_searched(chosen: DataFrame, store: DataFrame, *, query_id: str = "
     Store sizes are one row per cluster; the grand total is a scalar over them.
     """
     sizes = store_cluster_sizes(store)
-    total = store.agg(F.count("*")).scalar()
+    total = sizes.agg(F.sum("size")).scalar()
     joined = chosen.join(sizes.select("cluster_id", "size"), "cluster_id", "left")
     searched = F.coalesce("size", F.lit(0))
     return joined.select(

@@ -19,7 +19,7 @@ from lexigrove.operators.tfidf import idf
 from lexigrove.plans.runtime import materialize
 
 DIGITS = 9
-POSTINGS_PER_GROUP = 20_000
+POSTINGS_PER_GROUP = 10_000
 _PAIRS = "rep long, other long, similarity double"
 _PAIRS_ARROW = pa.schema([("rep", pa.int64()), ("other", pa.int64()), ("similarity", pa.float64())])
 

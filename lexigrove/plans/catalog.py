@@ -89,7 +89,7 @@ def ngrams(spark, sf_dir):
 def lemma_clean(spark, sf_dir):
     """Lemma table made from the corpus: a form in -s whose stem is a word of the corpus too."""
     docs = documents(spark, sf_dir, "text")
-    words = docs.select(F.explode(F.split(X.clean_text("text"), " ")).alias("w")).filter(F.length("w") > 2).distinct()
+    words = docs.select(F.explode_outer(F.split(X.clean_text("text"), " ")).alias("w")).filter(F.length("w") > 2).distinct()
     forms = words.filter(F.col("w").endswith("s")).select(
         F.col("w").alias("form"), F.expr("substring(w, 1, length(w) - 1)").alias("lemma")
     )
@@ -497,10 +497,11 @@ def latest_wins(spark, sf_dir):
 @query
 def stream_embed(spark, sf_dir):
     """Documents embedded as a file stream, read back as the latest embedding of each."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir, "text")
     stream = ST.read_document_stream(spark, f"{sf_dir}/documents*.parquet", docs.schema)
     out = scratch_path(spark, "embedded")
-    running = ST.start_embedding(stream, E.fit_encoder(docs), out, f"{out}-state")
+    cores = spark.sparkContext.defaultParallelism
+    running = ST.start_embedding(stream, E.fit_encoder(docs), out, f"{out}-state", partitions=cores)
     ST.wait_for_completion(running)
     rows = E.embedding_rows(ST.embeddings(spark, out), "doc_id")
     return rows.select("doc_id", F.col("dim").cast("long").alias("dim"), F.round(F.col("value").cast("double"), 6).alias("value"))

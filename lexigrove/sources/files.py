@@ -58,7 +58,7 @@ def parse_files(files: DataFrame, *, extractors: dict[str, BytesExtractor] | Non
     ``extractors`` maps further suffixes (``.pdf``) to functions from bytes to text; without one
     such a file is a failed row.
     """
-    extractors = {".docx": docx_text} if extractors is None else {".docx": docx_text, **extractors}
+    extractors = {".docx": docx_text, **(extractors or {})}
     name = F.element_at(F.split("path", "/"), -1)
     named = files.select(
         F.col("path").alias("file_path"),

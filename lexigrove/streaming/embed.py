@@ -21,11 +21,13 @@ def read_document_stream(
 
 
 def start_embedding(
-    documents: DataFrame, encoder, out_path: str, state_path: str, *, doc_id: str = "doc_id", text: str = "text"
+    documents: DataFrame, encoder, out_path: str, state_path: str, *, doc_id: str = "doc_id", text: str = "text",
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Embed what is there now and stop by itself; a later start goes on from ``state_path``.
 
     The file sink commits each batch once, so a lost executor or a restart repeats no row.
+    ``partitions`` spreads a batch of few large files before the encoding.
     """
     cluster = F.col("cluster_id") if "cluster_id" in documents.columns else F.lit(None)
     rows = documents.select(
@@ -34,6 +36,8 @@ def start_embedding(
         F.current_timestamp().alias("ts"),
         text,
     )
+    if partitions:
+        rows = rows.repartition(partitions)
     return (
         embed(rows, encoder, text=text)
         .writeStream.format("parquet")
