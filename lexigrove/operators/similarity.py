@@ -32,7 +32,7 @@ def _folded(tokens: DataFrame, doc_id: str) -> DataFrame:
 
 
 def _vectors(folded: DataFrame, threshold: float) -> DataFrame:
-    """``(rep, terms, weights, signature)``: unit vectors with their terms from rare to frequent."""
+    """``(rep, terms, weights, signature)``: unit vectors over numbered terms."""
     reps = folded.groupBy("bag").agg(
         F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.min_by("tokens", "doc_id").alias("tokens")
     )
@@ -41,10 +41,13 @@ def _vectors(folded: DataFrame, threshold: float) -> DataFrame:
         reps.repartition("rep").select("rep", "copies", F.explode("tokens").alias("term"))
         .groupBy("rep", "copies", "term").agg(F.count("*").alias("tf"))
     )
-    vocabulary = tf.groupBy("term").agg(F.sum("copies").alias("df"))
+    # stored, so that a term keeps the number it is given
+    vocabulary = materialize(
+        tf.groupBy("term").agg(F.sum("copies").alias("df")).withColumn("term_id", F.monotonically_increasing_id())
+    )
     n_documents = reps.agg(F.sum("copies")).scalar()
     rows = tf.join(vocabulary, "term").select(
-        "rep", "term", "df", (F.col("tf") * idf(n_documents, F.col("df"))).alias("w")
+        "rep", F.col("term_id").alias("term"), "df", (F.col("tf") * idf(n_documents, F.col("df"))).alias("w")
     ).filter(F.col("w") > 0)
     whole = Window.partitionBy("rep")
     earlier = whole.orderBy("df", "term").rowsBetween(Window.unboundedPreceding, -1)
@@ -78,7 +81,7 @@ def _groups(vectors: DataFrame, hot: int, block: int) -> DataFrame:
         F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"),
     )
     spread = cut.select(
-        F.concat(F.lit("term "), "term").alias("part"), F.least("block", "other").alias("low"),
+        F.concat(F.lit("term "), F.col("term").cast("string")).alias("part"), F.least("block", "other").alias("low"),
         F.greatest("block", "other").alias("high"), "block", "rep", F.array("term").alias("shared"),
     )
     return packed.unionByName(spread)
@@ -94,20 +97,19 @@ def _group_search(k: int, threshold: float):
         terms = group.column("terms").combine_chunks()
         lengths = terms.value_lengths().to_numpy()
         starts = np.concatenate([[0], np.cumsum(lengths)])
-        coded = terms.flatten().dictionary_encode()
-        codes = coded.indices.to_numpy()
+        vocabulary, codes = np.unique(terms.flatten().to_numpy(), return_inverse=True)
         weights = np.concatenate([c.flatten().to_numpy() for c in group.column("weights").chunks])
-        members: dict[str, list[int]] = {}
-        for row, shared in enumerate(group.column("shared").to_pylist()):
-            for term in shared:
-                members.setdefault(term, []).append(row)
+        shared = group.column("shared").combine_chunks()
+        owners = np.repeat(np.arange(len(reps)), shared.value_lengths().to_numpy())
+        keys = shared.flatten().to_numpy()
+        order = np.argsort(keys, kind="stable")
+        owners, edges = owners[order], np.flatnonzero(np.diff(keys[order])) + 1
         meets: list[list[np.ndarray]] = [[] for _ in reps]
-        for rows in members.values():
+        for rows in np.split(owners, edges):
             if len(rows) > 1:
-                rows = np.array(rows)
                 for row in rows:
                     meets[row].append(rows)
-        dense = np.zeros(len(coded.dictionary))
+        dense = np.zeros(len(vocabulary))
         found = []
         for row, lists in enumerate(meets):
             if not lists:
