@@ -18,7 +18,7 @@ def fit_kmeans(features: DataFrame, k: int = 5, *, max_iter: int = 100, seed: in
     Only ``k`` rows are looked at for that. The features are kept across the iterations and
     spill to disk where memory is short.
     """
-    found = len(features.select("features").limit(k).collect())
+    found = len(features.select(F.lit(1)).limit(k).collect())
     if found < 2:
         raise ValueError("clustering needs at least two rows")
     kept = features.persist(StorageLevel.MEMORY_AND_DISK)

@@ -26,6 +26,7 @@ from lexigrove.plans.runtime import BROADCAST_BYTES, broadcast_if_small, materia
 # Scores are compared at this precision, so that equal vectors tie whatever the summing order.
 SCORE_DIGITS = 9
 CHUNK_CELLS = 4_000_000
+TASKS_PER_CORE = 4
 ITEM_BLOCK_BYTES = 4 * BROADCAST_BYTES
 
 _RESULT = "query_id long, item_id long, score double"
@@ -151,7 +152,9 @@ def _by_broadcast_queries(queries: DataFrame, items: DataFrame, k: int, metric:
 
     if len(keys) <= 1000:
         items = items.filter(F.col("key").isin(keys))
-    return items.mapInArrow(scan, _RESULT)
+    # Every task answers every query, so a few splits share a task; fewer splits stay as they are.
+    tasks = TASKS_PER_CORE * items.sparkSession.sparkContext.defaultParallelism
+    return items.coalesce(tasks).mapInArrow(scan, _RESULT)
 
 
 def _by_blocks(
@@ -216,8 +219,9 @@ def nearest(
         raise ValueError(f"unknown metric {metric!r}")
     asked = _prepared(queries, query_id, query_vector, key)
     stored = _prepared(items, item_id, item_vector, key)
-    _, query_size = _bytes(asked)
-    if query_size <= broadcast_bytes:
+    n_queries, query_bytes = _bytes(asked)
+    # a task holds the queries and the best k of each
+    if query_bytes + n_queries * k * 16 <= broadcast_bytes:
         rows = _by_broadcast_queries(asked, stored, k, metric)
     elif _bytes(stored)[1] <= broadcast_bytes:
         rows = _by_broadcast_items(asked, stored, k, metric)

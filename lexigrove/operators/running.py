@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lexigrove.functions.constants import MILESTONE_INTERVAL_BEYOND, MILESTONE_INTERVALS
-from lexigrove.plans.runtime import materialize
+from lexigrove.plans.runtime import checkpointed
 
 
 def running_totals(
@@ -19,7 +19,7 @@ def running_totals(
     spread over many ranges.
     """
     cut = rows.repartitionByRange(*([partitions] if partitions else []), *([run] if run else []), *order_by)
-    stored = materialize(cut).withColumn("_range", F.spark_partition_id())
+    stored = checkpointed(cut).withColumn("_range", F.spark_partition_id())
     keys = ([run] if run else []) + ["_range"]
     totals = stored.groupBy(*keys).agg(
         F.count("*").alias("_n"), F.sum(F.coalesce(value, F.lit(0.0))).alias("_sum")

@@ -33,12 +33,10 @@ def _folded(tokens: DataFrame, doc_id: str) -> DataFrame:
 
 def _vectors(folded: DataFrame, threshold: float) -> DataFrame:
     """``(rep, terms, weights, signature)``: unit vectors over numbered terms."""
-    reps = folded.groupBy("bag").agg(
-        F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.min_by("tokens", "doc_id").alias("tokens")
-    )
-    reps = materialize(reps.select("rep", "copies", "tokens"))
+    reps = folded.groupBy("bag").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
+    kept = folded.select(F.col("doc_id").alias("rep"), "tokens").join(reps.select("rep", "copies"), "rep")
     tf = (
-        reps.repartition("rep").select("rep", "copies", F.explode("tokens").alias("term"))
+        kept.repartition("rep").select("rep", "copies", F.explode("tokens").alias("term"))
         .groupBy("rep", "copies", "term").agg(F.count("*").alias("tf"))
     )
     # stored, so that a term keeps the number it is given
@@ -147,7 +145,7 @@ def similar_documents(
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be above 0 and at most 1")
-    folded = _folded(tokens, doc_id)
+    folded = materialize(_folded(tokens, doc_id))
     vectors = materialize(_vectors(folded, threshold))
     met = _groups(vectors.select("rep", "signature"), hot, block).join(vectors.select("rep", "terms", "weights"), "rep")
     pairs = met.groupBy("part", "low", "high").applyInArrow(_group_search(k, threshold), _PAIRS)

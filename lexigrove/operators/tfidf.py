@@ -77,7 +77,7 @@ def tfidf(tokens: DataFrame, *, doc_id: str = "doc_id", max_terms: int | None =
 
 def require_corpus(tokens: DataFrame, minimum: int = 2) -> None:
     """Stop where fewer than ``minimum`` documents have tokens; looks at that many rows only."""
-    found = len(tokens.select("tokens").limit(minimum).collect())
+    found = len(tokens.select(F.lit(1)).limit(minimum).collect())
     if found == 0:
         raise ValueError("no documents with valid tokens")
     if found < minimum:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import NGram
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from lexigrove.functions import text as X
 from lexigrove.functions.constants import ENGLISH_STOP_WORDS
@@ -69,6 +69,11 @@ def lemmatize_documents(
     return rebuilt.select(doc_id, F.array_join(F.transform("parts", lambda p: p["w"]), " ").alias("text"))
 
 
+def head(documents: DataFrame, n: int, *, doc_id: str = "doc_id") -> DataFrame:
+    """The first ``n`` documents by id, to try a smaller corpus."""
+    return documents.orderBy(doc_id).limit(n)
+
+
 def word_char_counts(documents: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     stripped = X.strip(text)
     return documents.select(

@@ -51,7 +51,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute once and cut the lineage, so that later plans read the stored rows."""
+    """Compute once into a table of the shared folder, from which later plans read their columns only.
+
+    The table outlives lost executors, and its size is known to the planner.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "stored")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Compute once and cut the lineage with the partitions kept as they are."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
