@@ -24,6 +24,11 @@ _PAIRS = "rep long, other long, similarity double"
 _PAIRS_ARROW = pa.schema([("rep", pa.int64()), ("other", pa.int64()), ("similarity", pa.float64())])
 
 
+def _floor(threshold: float) -> float:
+    """A hair below the threshold, so that rounding never loses a pair."""
+    return threshold * (1 - 1e-9)
+
+
 def _folded(tokens: DataFrame, doc_id: str) -> DataFrame:
     """``(doc_id, bag, tokens)``: documents with equal bags of words have an equal ``bag``."""
     return tokens.select(
@@ -54,33 +59,41 @@ def _vectors(folded: DataFrame, threshold: float) -> DataFrame:
         "rep", "term", "df", "w", F.sum(square).over(whole).alias("norm2"),
         F.coalesce(F.sum(square).over(earlier), F.lit(0.0)).alias("before"),
     )
-    # a hair below the exact bound, so that rounding never shortens a signature
-    in_signature = F.col("norm2") - F.col("before") >= F.col("norm2") * F.lit(threshold * threshold * (1 - 1e-9))
+    in_signature = F.col("norm2") - F.col("before") >= F.col("norm2") * F.lit(_floor(threshold) ** 2)
     return measured.groupBy("rep").agg(
         F.collect_list("term").alias("terms"),
         F.collect_list(F.col("w") / F.sqrt("norm2")).alias("weights"),
-        F.collect_list(F.when(in_signature, F.col("term"))).alias("signature"),
+        F.collect_list(
+            F.when(in_signature, F.struct("term", F.sqrt((F.col("norm2") - F.col("before")) / F.col("norm2")).alias("reach")))
+        ).alias("signature"),
     )
 
 
-def _groups(vectors: DataFrame, hot: int, block: int) -> DataFrame:
-    """``(part, low, high, block, rep, shared)``: which vectors meet in which group, over which terms."""
-    postings = vectors.select("rep", F.explode("signature").alias("term"))
-    sizes = postings.groupBy("term").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
-    sized = materialize(postings.join(sizes, "term"))
+def _groups(vectors: DataFrame, threshold: float, hot: int, block: int) -> DataFrame:
+    """``(part, low, high, block, rep, shared)``: which vectors meet in which group, over which terms.
+
+    ``reach`` is the length of a vector from the term on. At the first term that two vectors share,
+    the product of their reaches bounds their similarity, so a vector whose reach is too short for
+    the longest one at a term need not come there.
+    """
+    postings = vectors.select("rep", F.explode("signature").alias("s")).select("rep", "s.term", "s.reach")
+    sizes = postings.groupBy("term").agg(F.count("*").alias("n"), F.max("reach").alias("longest")).filter(F.col("n") > 1)
+    sized = materialize(
+        postings.join(sizes, "term").filter(F.col("reach") * F.col("longest") >= _floor(threshold))
+    )
     cold = sized.filter(F.col("n") <= hot)
     parts = max(1, cold.count() // POSTINGS_PER_GROUP)
     packed = cold.groupBy("rep", F.pmod(F.xxhash64("term"), F.lit(parts)).cast("string").alias("part")).agg(
-        F.collect_list("term").alias("shared")
+        F.collect_list(F.struct("term", "reach")).alias("shared")
     ).select("part", F.lit(-1).alias("low"), F.lit(-1).alias("high"), F.lit(-1).alias("block"), "rep", "shared")
     blocks = F.ceil(F.col("n") / F.lit(block)).cast("int")
     cut = sized.filter(F.col("n") > hot).select(
-        "term", "rep", F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("block"),
+        "term", "reach", "rep", F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("block"),
         F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"),
     )
     spread = cut.select(
         F.concat(F.lit("term "), F.col("term").cast("string")).alias("part"), F.least("block", "other").alias("low"),
-        F.greatest("block", "other").alias("high"), "block", "rep", F.array("term").alias("shared"),
+        F.greatest("block", "other").alias("high"), "block", "rep", F.array(F.struct("term", "reach")).alias("shared"),
     )
     return packed.unionByName(spread)
 
@@ -99,14 +112,17 @@ def _group_search(k: int, threshold: float):
         weights = np.concatenate([c.flatten().to_numpy() for c in group.column("weights").chunks])
         shared = group.column("shared").combine_chunks()
         owners = np.repeat(np.arange(len(reps)), shared.value_lengths().to_numpy())
-        keys = shared.flatten().to_numpy()
-        order = np.argsort(keys, kind="stable")
-        owners, edges = owners[order], np.flatnonzero(np.diff(keys[order])) + 1
+        entries = shared.flatten()
+        keys, reach = entries.field("term").to_numpy(), entries.field("reach").to_numpy()
+        order = np.lexsort((-reach, keys))
+        owners, reach, edges = owners[order], reach[order], np.flatnonzero(np.diff(keys[order])) + 1
         meets: list[list[np.ndarray]] = [[] for _ in reps]
-        for rows in np.split(owners, edges):
+        for rows, lengthy in zip(np.split(owners, edges), np.split(reach, edges)):
             if len(rows) > 1:
-                for row in rows:
-                    meets[row].append(rows)
+                near = np.searchsorted(-lengthy, -_floor(threshold) / lengthy, side="right")
+                for row, count in zip(rows, near):
+                    if count:
+                        meets[row].append(rows[:count])
         dense = np.zeros(len(vocabulary))
         found = []
         for row, lists in enumerate(meets):
@@ -147,7 +163,7 @@ def similar_documents(
         raise ValueError("threshold must be above 0 and at most 1")
     folded = materialize(_folded(tokens, doc_id))
     vectors = materialize(_vectors(folded, threshold))
-    met = _groups(vectors.select("rep", "signature"), hot, block).join(vectors.select("rep", "terms", "weights"), "rep")
+    met = _groups(vectors.select("rep", "signature"), threshold, hot, block).join(vectors.select("rep", "terms", "weights"), "rep")
     pairs = met.groupBy("part", "low", "high").applyInArrow(_group_search(k, threshold), _PAIRS)
     distinct = pairs.groupBy("rep", "other").agg(F.max("similarity").alias("similarity"))
     order = Window.partitionBy("rep").orderBy(F.desc("similarity"), "other")

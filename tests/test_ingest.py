@@ -2,7 +2,6 @@ import json
 import zipfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from lexigrove.operators import evaluate as V
 from lexigrove.plans import stages

@@ -1,6 +1,5 @@
 import re
 
-from pyspark.sql import functions as F
 
 from lexigrove.functions import text as X
 from lexigrove.functions.constants import TOKEN_STOP_WORDS
