@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import re
 import zipfile
 from collections.abc import Callable
 from xml.etree import ElementTree
@@ -31,6 +32,13 @@ def docx_text(content: bytes) -> str:
     return "\n".join(lines).strip()
 
 
+def _needed(names: list[str], extractors: dict[str, BytesExtractor] | None) -> dict[str, BytesExtractor]:
+    """The extractors that files with these names or patterns can need; often none, and then no Python runs."""
+    offered = {".docx": docx_text, **(extractors or {})}
+    suffixes = {re.search(r"(\.\w+)?$", name.lower()).group(0) for name in names}
+    return {s: f for s, f in offered.items() if s in suffixes or "" in suffixes}
+
+
 def _extractor_column(extractors: dict[str, BytesExtractor]):
     """One pass over the bytes of the formats that need Python; other rows send nulls only."""
 
@@ -55,10 +63,11 @@ def _extractor_column(extractors: dict[str, BytesExtractor]):
 def parse_files(files: DataFrame, *, extractors: dict[str, BytesExtractor] | None = None) -> DataFrame:
     """Parse ``binaryFile`` rows.
 
-    ``extractors`` maps further suffixes (``.pdf``) to functions from bytes to text; without one
-    such a file is a failed row.
+    ``extractors`` maps suffixes (``.pdf``) to functions from bytes to text, DOCX alone by default;
+    without one such a file is a failed row.
     """
-    extractors = {".docx": docx_text, **(extractors or {})}
+    extractors = {".docx": docx_text} if extractors is None else extractors
+    nothing = F.lit(None).cast("struct<text:string,error:string>")
     name = F.element_at(F.split("path", "/"), -1)
     named = files.select(
         F.col("path").alias("file_path"),
@@ -71,7 +80,7 @@ def parse_files(files: DataFrame, *, extractors: dict[str, BytesExtractor] | Non
         "*",
         F.when(F.col("format") == ".txt", X.decode_bytes("content")).alias("_plain"),
         F.when(F.col("format") == ".json", X.json_object(F.col("content").cast("string"))).alias("_json"),
-        _extractor_column(extractors).alias("_other"),
+        (_extractor_column(extractors) if extractors else nothing).alias("_other"),
     )
     text = F.coalesce("_plain", X.json_document_text(F.col("_json")), F.col("_other.text"))
     parsed = decoded.select(
@@ -116,14 +125,14 @@ def parse_directory(
         .option("recursiveFileLookup", str(recursive).lower())
         .load(directory)
     )
-    return parse_files(files, extractors=extractors)
+    return parse_files(files, extractors=_needed(patterns, extractors))
 
 
 def parse_batch(
     spark: SparkSession, paths: list[str], *, extractors: dict[str, BytesExtractor] | None = None
 ) -> DataFrame:
     """The named files; a missing one raises."""
-    return parse_files(spark.read.format("binaryFile").load(paths), extractors=extractors)
+    return parse_files(spark.read.format("binaryFile").load(paths), extractors=_needed(paths, extractors))
 
 
 def parse_json_documents(rows: DataFrame, *, content: str, key: str) -> DataFrame:

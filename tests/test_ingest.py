@@ -59,6 +59,14 @@ def test_batch_and_own_extractor(spark, folder):
         files.parse_batch(spark, [str(folder / "absent.txt")]).count()
 
 
+def test_text_and_json_need_no_python(spark, folder):
+    rows = files.parse_directory(spark, str(folder), ["*.txt", "*.json"])
+    assert "ArrowEvalPython" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert rows.filter("success").count() == 3
+    everything = files.parse_directory(spark, str(folder), ["*"], recursive=False)
+    assert "First one" in {r.text.split("\n")[0] for r in everything.collect()}
+
+
 def test_unsupported_suffix_is_a_failed_row(spark, folder):
     (folder / "x.csv").write_text("a,b")
     row = files.parse_directory(spark, str(folder), ["*.csv"]).first()
