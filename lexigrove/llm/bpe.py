@@ -17,9 +17,11 @@ columns of the input are passed on, and an existing column with the output's nam
 from __future__ import annotations
 
 import base64
+import gc
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, types as T
@@ -242,33 +244,49 @@ class StreamDecoder:
         return "".join(self.stream(tokens or ()))
 
 
-def _add_column(df: DataFrame, source: str, output: str, kind: T.DataType, arrow: pa.DataType, make) -> DataFrame:
-    """``df`` with one more column, made by ``make()`` in the task: a function from value to value."""
-    kept = [f for f in df.schema.fields if f.name.lower() != output.lower()]
-    names = [f.name for f in kept]
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Small slices, so that a batch of long texts never has all its ids in Python at once."""
+    # the tables below grow to a million small objects without cycles: looking for cycles among them often is in vain
+    gc.set_threshold(200_000, 50, 1000)
+    for batch in batches:
+        for start in range(0, batch.num_rows, 256):
+            yield batch.slice(start, 256)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        convert = make()
-        for batch in batches:
-            # part by part, so that a batch of long texts never has all its ids in Python at once
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
-                column = pa.array((convert(v) for v in part.column(source).to_pylist()), arrow)
-                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), column], [*names, output])
 
-    return df.mapInArrow(run, T.StructType([*kept, T.StructField(output, kind)]))
+def _without(df: DataFrame, output: str) -> list[T.StructField]:
+    return [f for f in df.schema.fields if f.name.lower() != output.lower()]
 
 
 def encode(df: DataFrame, ranks_path: str, pattern: str, *, text: str = "text", output: str = "token_ids") -> DataFrame:
     """``df`` with the ids of each whole text; no special tokens."""
     raw = df.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
-    return _add_column(
-        df, text, output, T.ArrayType(T.IntegerType(), False), pa.list_(pa.field("element", pa.int32(), False)),
-        lambda: Encoder(raw.value, pattern).encode,
-    )
+    kept = _without(df, output)
+    names = [f.name for f in kept]
+    element = pa.field("element", pa.int32(), False)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode_one = Encoder(raw.value, pattern).encode
+        for part in _parts(batches):
+            ids = [np.array(encode_one(t.as_py()), np.int32) for t in part.column(text)]
+            ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+            flat = pa.array(np.concatenate([np.empty(0, np.int32), *ids]))
+            column = pa.ListArray.from_arrays(pa.array(ends), flat, type=pa.list_(element))
+            yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), column], [*names, output])
+
+    return df.mapInArrow(run, T.StructType([*kept, T.StructField(output, T.ArrayType(T.IntegerType(), False))]))
 
 
 def decode(df: DataFrame, ranks_path: str, *, tokens: str = "token_ids", output: str = "decoded") -> DataFrame:
-    """``df`` with the text of each list of ids."""
+    """``df`` with the text of each list of ids; null counts as empty."""
     raw = df.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
-    return _add_column(df, tokens, output, T.StringType(), pa.string(), lambda: StreamDecoder(raw.value).decode)
+    kept = _without(df, output)
+    names = [f.name for f in kept]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decode_one = StreamDecoder(raw.value).decode
+        for part in _parts(batches):
+            lists = part.column(tokens)
+            texts = (decode_one(v.values.to_numpy().tolist() if v.is_valid else ()) for v in lists)
+            yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(texts, pa.string())], [*names, output])
+
+    return df.mapInArrow(run, T.StructType([*kept, T.StructField(output, T.StringType())]))

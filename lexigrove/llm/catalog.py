@@ -7,8 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexigrove.llm import bpe, simhash
+from lexigrove.llm import bpe, decontaminate, pii, quality, simhash
 
+#: Key of the surrogates in the registered query; a real run takes its own.
+PII_KEY = "registered-query"
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -16,6 +18,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark items they contain, verbatim or with other values."""
+    found = decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "windows", "item_windows", "coverage", "slots_changed")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of three-word shingles, linked within three bits."""
     return simhash.components(_table(spark, sf_dir, "documents"))
@@ -34,9 +42,23 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's weak label, score and decision."""
+    return quality.score_documents(_table(spark, sf_dir, "documents"))
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text with surrogates in place of personal data, and where they stand."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace_entities(docs, PII_KEY).withColumn("n_entities", F.size("entities").cast("long"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontaminate": op2_decontaminate,
     "op5_simhash": op5_simhash,
     "op6_bpe": op6_bpe,
+    "op8_quality": op8_quality,
+    "op10_pii": op10_pii,
 }
 
 LLM_ORACLES: dict[str, str] = {}
