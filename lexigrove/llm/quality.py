@@ -23,6 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from lexigrove.llm.sampling import by_hash
 from lexigrove.plans.runtime import materialize
 
 #: Documents the scorer is trained on: those with the smallest text hash. The vote counts use all documents.
@@ -169,7 +170,8 @@ def estimate(patterns: dict[int, int], rounds: int = 100) -> tuple[np.ndarray, n
     Class 0 is good; a bad document has one of as many kinds of fault as there are labellers, each class started from one
     labeller, because labellers overlap and a document with one fault is good in the eyes of the others. ``rates[j, c]`` is
     the chance that labeller j, if it votes, votes *bad* on class c; on good documents it is held below ``FALSE_ALARM``,
-    else a common fault would pass for good. Silence says nothing about the class.
+    else a common fault would pass for good, and each kind's own labeller sees at least half of it, else a kind could take
+    in the good ones. A kind is considered only where its labeller votes; else silence says nothing about the class.
     """
     keys = sorted(patterns)
     count = np.array([patterns[k] for k in keys], float)
@@ -183,12 +185,15 @@ def estimate(patterns: dict[int, int], rounds: int = 100) -> tuple[np.ndarray, n
     post = np.zeros((len(keys), m + 1))
     for _ in range(rounds):
         logs = np.log(shares) + bad @ np.log(rates) + good @ np.log(1 - rates)
+        logs[:, 1:] = np.where(vote == 0, -np.inf, logs[:, 1:])
         post = np.exp(logs - logs.max(1, initial=-np.inf, keepdims=True))
         post /= post.sum(1, keepdims=True)
         weighed = post * count[:, None]
         rates = (bad.T @ weighed + 0.2) / ((bad + good).T @ weighed + 1)
         rates = np.clip(rates, 1e-4, 0.999)
         rates[:, 0] = np.minimum(rates[:, 0], FALSE_ALARM)
+        own = np.arange(m)
+        rates[own, own + 1] = np.maximum(rates[own, own + 1], 0.5)
         shares = (weighed.sum(0) + 1) / (weighed.sum() + m + 1)
     return rates, shares, dict(zip(keys, post[:, 0].tolist(), strict=True))
 
@@ -217,7 +222,8 @@ def fit_profiled(profiled: DataFrame) -> Model:
     """Estimate and train on a stored profile; counts cover all rows, the scorer's sample is bounded."""
     counts = {r["pattern"]: r["count"] for r in profiled.groupBy("pattern").count().collect()}
     rates, shares, posterior = estimate(counts)
-    sample = profiled.select("text_hash", "pattern", "at", "value").orderBy("text_hash", "pattern").limit(SAMPLE).toPandas()
+    spread = by_hash(profiled.select("text_hash", "pattern", "at", "value"), "text_hash", SAMPLE, sum(counts.values()))
+    sample = spread.toPandas()
     labels = np.array([posterior[p] for p in sample["pattern"]])
     weights, bias = _train(list(sample["at"]), list(sample["value"]), labels)
     return Model(rates, shares, posterior, weights, bias)

@@ -27,6 +27,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from lexigrove.llm.sampling import by_hash
+from lexigrove.plans.runtime import materialize
+
 POSITIVES, NEGATIVES, PIECE, BLOCK = 2000, 3000, 256, 64
 BITS = 18
 STEMS = (1 << BITS) - 1
@@ -281,10 +284,11 @@ def fit(docs: DataFrame, labels: DataFrame, *, text: str = "text", doc_id: str =
     """Learn from the labelled ones among ``docs``; labels are joined by id, which is no input of a score."""
     marked = labels.filter(F.col(toxic).isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("doc_id")).agg(F.max(toxic).alias("toxic"))
     wanted = docs.select(F.col(doc_id).alias("doc_id")).filter("doc_id is not null")
-    known = marked.join(wanted, "doc_id", "left_semi")
+    known = materialize(marked.join(wanted, "doc_id", "left_semi"))
+    sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     chosen = None
     for value, most in ((1, POSITIVES), (0, NEGATIVES)):
-        some = known.filter(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+        some = by_hash(known.filter(F.col("toxic") == value), "doc_id", most, sizes.get(value, 0))
         chosen = some if chosen is None else chosen.unionByName(some)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id").select("text", "toxic")
     sample = rows.toPandas().drop_duplicates("text").sort_values("text")

@@ -19,6 +19,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lexigrove.llm.sampling import by_hash
 from lexigrove.plans.runtime import broadcast_if_small, materialize
 
 SAMPLE, TREES, DEPTH, SEED = 20_000, 20, 4, 7
@@ -119,7 +120,7 @@ def judge(pages: DataFrame, rules: Sequence[Rule], *, url: str = "url", page_id:
     suffix = F.regexp_extract("host", r"[^.]*$", 0)
     columns = lexical_features(F.col("url"), F.col("host"), F.col("path"))
     known = materialize(rows.select("page_id", "host", "path", "rule", "ruled", suffix.alias("suffix"),
-                                    F.xxhash64("url").alias("url_hash"), *(c.alias(n) for n, c in columns.items())))
+                                    *(c.alias(n) for n, c in columns.items())))
     is_block = (F.col("ruled") == BLOCK).cast("double")
     labelled = known.filter(F.col("ruled").isNotNull())
     n, blocked = labelled.agg(F.count("*"), F.sum(is_block)).first()
@@ -133,7 +134,7 @@ def judge(pages: DataFrame, rules: Sequence[Rule], *, url: str = "url", page_id:
     full = known.join(statistics, "suffix", "left").fillna(prior, ["suffix_blocked"])
     names = [*columns, "suffix_blocked"]
     vectors = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep")
-    sample = full.filter(F.col("ruled").isNotNull()).orderBy("url_hash", "page_id").limit(SAMPLE)
+    sample = by_hash(full.filter(F.col("ruled").isNotNull()), "page_id", SAMPLE, n)
     sample = materialize(sample.select(*names, is_block.alias("label")))
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED).fit(vectors.transform(sample).select("features", "label"))
     judged = model.transform(vectors.transform(full))
