@@ -170,7 +170,7 @@ def estimate(patterns: dict[int, int], rounds: int = 100) -> tuple[np.ndarray, n
     Class 0 is good; a bad document has one of as many kinds of fault as there are labellers, each class started from one
     labeller, because labellers overlap and a document with one fault is good in the eyes of the others. ``rates[j, c]`` is
     the chance that labeller j, if it votes, votes *bad* on class c; on good documents it is held below ``FALSE_ALARM``,
-    else a common fault would pass for good, and each kind's own labeller sees at least half of it, else a kind could take
+    else a common fault would pass for good, and each kind's own labeller sees at least four fifths of it, else a kind could take
     in the good ones. A kind is considered only where its labeller votes; else silence says nothing about the class.
     """
     keys = sorted(patterns)
@@ -193,7 +193,7 @@ def estimate(patterns: dict[int, int], rounds: int = 100) -> tuple[np.ndarray, n
         rates = np.clip(rates, 1e-4, 0.999)
         rates[:, 0] = np.minimum(rates[:, 0], FALSE_ALARM)
         own = np.arange(m)
-        rates[own, own + 1] = np.maximum(rates[own, own + 1], 0.5)
+        rates[own, own + 1] = np.maximum(rates[own, own + 1], 0.8)
         shares = (weighed.sum(0) + 1) / (weighed.sum() + m + 1)
     return rates, shares, dict(zip(keys, post[:, 0].tolist(), strict=True))
 
