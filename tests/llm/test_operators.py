@@ -357,7 +357,8 @@ def test_quality_against_labels(spark, odd, nothing):
 
 def test_estimation_finds_precise_labellers():
     rates, shares, posterior = quality.estimate({0: 5, 1: 900, 2: 60, 1 + 3 * quality.BAD: 40})
-    assert posterior[1] > 0.9 and posterior[2] < 0.1 and posterior[1 + 3 * quality.BAD] < 0.1
+    assert posterior[1] > quality.KEEP > max(posterior[2], posterior[1 + 3 * quality.BAD])
+    assert posterior[0] == 1.0 and abs(shares.sum() - 1) < 1e-9 and (rates[:, 0] <= quality.FALSE_ALARM).all()
 
 
 # urls
