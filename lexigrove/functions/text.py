@@ -76,10 +76,18 @@ def contains_any(c: str | Column, terms: Column) -> Column:
 
 
 def decode_bytes(content: str | Column) -> Column:
-    """Text of raw bytes: UTF-8 where valid, else Latin-1, stripped."""
+    """Text of raw bytes, stripped: as a byte-order mark says, else UTF-8 where valid, else Latin-1. The mark goes."""
     content = _col(content)
     as_utf8 = content.cast("string")
-    text = F.when(F.is_valid_utf8(as_utf8), as_utf8).otherwise(F.decode(content, "ISO-8859-1"))
+    head = F.hex(F.substring(content, 1, 4))
+    text = (
+        F.when(head.startswith("EFBBBF"), F.substring(as_utf8, 2, 2**31 - 1))
+        .when(head.startswith("FFFE0000"), F.decode(content, "UTF-32"))
+        .when(head == "0000FEFF", F.decode(content, "UTF-32"))
+        .when(head.startswith("FFFE") | head.startswith("FEFF"), F.decode(content, "UTF-16"))
+        .when(F.is_valid_utf8(as_utf8), as_utf8)
+        .otherwise(F.decode(content, "ISO-8859-1"))
+    )
     return strip(text)
 
 

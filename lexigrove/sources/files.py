@@ -24,9 +24,19 @@ def docx_text(content: bytes) -> str:
     """Body paragraphs of a DOCX file, one per line."""
     with zipfile.ZipFile(io.BytesIO(content)) as archive:
         body = ElementTree.fromstring(archive.read("word/document.xml")).find(f"{_WORD}body")
-    marks = {f"{_WORD}tab": "\t", f"{_WORD}br": "\n", f"{_WORD}cr": "\n"}
+    marks = {f"{_WORD}tab": "\t", f"{_WORD}br": "\n", f"{_WORD}cr": "\n", f"{_WORD}noBreakHyphen": "-"}
+    holders = {f"{_WORD}hyperlink", f"{_WORD}ins", f"{_WORD}smartTag"}
+
+    def runs(parent):
+        """Runs of a paragraph in order; settings, where a tab stop has the tag of a tab, hold none."""
+        for child in parent:
+            if child.tag == f"{_WORD}r":
+                yield child
+            elif child.tag in holders:
+                yield from runs(child)
+
     lines = [
-        "".join((node.text or "") if node.tag == f"{_WORD}t" else marks.get(node.tag, "") for node in paragraph.iter())
+        "".join((node.text or "") if node.tag == f"{_WORD}t" else marks.get(node.tag, "") for run in runs(paragraph) for node in run)
         for paragraph in body.findall(f"{_WORD}p")
     ]
     return "\n".join(lines).strip()

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lexigrove.functions import text as X
 
 DOCUMENTS_JSON = (
     "id long, file_name string, format string, text string, metadata map<string,string>, word_count int"
 )
+MEMBERS_PER_LINE = 10_000
 CLUSTERS_JSON = (
     "clusters map<string, struct<cluster_id:int, label:string, size:int, document_indices:array<long>, "
     "top_terms:array<array<string>>, formats:map<string,long>, average_doc_length:double, "
@@ -18,9 +20,15 @@ CLUSTERS_JSON = (
 
 
 def read_corpus_jsonl(spark: SparkSession, path: str, schema: str = "doc_id string, text string, word_count int, processing_time double") -> DataFrame:
-    """One object per line; bad lines and blank texts are left out."""
-    rows = spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
-    return rows.filter(~X.is_blank("text"))
+    """One object per line; bad lines and blank texts are left out.
+
+    Fields are read as strings and then cast, so a field of another type becomes null and its row stays.
+    """
+    fields = StructType.fromDDL(schema).fields
+    loose = StructType([StructField(f.name, StringType()) for f in fields])
+    rows = spark.read.schema(loose).option("mode", "DROPMALFORMED").json(path)
+    cast = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in fields]
+    return rows.filter(~X.is_blank("text")).select(*cast)
 
 
 def read_documents_json(spark: SparkSession, path: str) -> DataFrame:
@@ -47,6 +55,17 @@ def cluster_members(clusters: DataFrame) -> DataFrame:
     return clusters.select(F.explode("document_indices").alias("doc_id"), "cluster_id")
 
 
+def write_clusters_json(clusters: DataFrame, members: DataFrame, path: str, *, doc_id: str = "doc_id") -> None:
+    """One object per cluster with the ids of its members, split over lines of ``MEMBERS_PER_LINE`` ids.
+
+    A member list has no bound, so no cluster is one value: each line repeats the cluster and holds one part of the list.
+    """
+    part = F.pmod(F.xxhash64(doc_id), F.greatest(F.ceil(F.col("size") / MEMBERS_PER_LINE), F.lit(1)))
+    placed = members.select(doc_id, "cluster_id").join(clusters.select("cluster_id", "size"), "cluster_id")
+    lists = placed.withColumn("part", part).groupBy("cluster_id", "part").agg(F.sort_array(F.collect_list(doc_id)).alias("document_indices"))
+    clusters.join(lists, "cluster_id", "left").write.mode("overwrite").json(path)
+
+
 def write_corpus_jsonl(results: DataFrame, path: str, *, include_metadata: bool = True) -> None:
     """Successes only: all fields, or id, text, word count and time."""
     rows = results.filter("success")
@@ -57,11 +76,11 @@ def write_corpus_jsonl(results: DataFrame, path: str, *, include_metadata: bool
     rows.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-def structured_documents(results: DataFrame) -> DataFrame:
-    """Parsed files with raw and cleaned text; ``word_count`` is that of the raw text."""
+def structured_documents(results: DataFrame, *, keep: tuple = ()) -> DataFrame:
+    """Parsed files with raw and cleaned text, and the columns ``keep``; ``word_count`` is that of the raw text."""
     return results.filter("success").select(
         "doc_id", "file_name", "format", F.col("text").alias("raw_text"), X.clean_text("text").alias("text"),
-        F.coalesce("metadata", F.create_map().cast("map<string,string>")).alias("metadata"), "word_count",
+        F.coalesce("metadata", F.create_map().cast("map<string,string>")).alias("metadata"), "word_count", *keep,
     )
 
 
