@@ -24,7 +24,7 @@ def test_stream_picks_up_new_files_and_last_write_wins(spark, tmp_path):
     stream = ST.read_document_stream(spark, source, docs.schema, max_files=1)
     query = ST.start_embedding(stream, length_encoder, out, state)
     assert ST.wait_for_completion(query, 120)
-    report = ST.progress(query)
+    report = ST.progress(spark, query, out)
     assert report["processed"] == 2 and not report["is_running"]
     spark.createDataFrame([(1, "changed")], docs.schema).write.mode("append").parquet(source)
     ST.wait_for_completion(ST.start_embedding(ST.read_document_stream(spark, source, docs.schema), length_encoder, out, state))
