@@ -7,23 +7,33 @@ import time
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexigrove.operators.nearest import nearest_of_few
 
 
-def fit_kmeans(features: DataFrame, k: int = 5, *, max_iter: int = 100, seed: int = 42) -> KMeansModel:
-    """Fit on ``(…, features)``; ``k`` is lowered to the number of rows.
+#: Partitions of the fit; a large corpus takes more, and then always as many.
+LAYOUT = 64
+INIT_STEPS = 5
 
-    Only ``k`` rows are looked at for that. The features are kept across the iterations and
-    spill to disk where memory is short.
+
+def fit_kmeans(
+    features: DataFrame, k: int = 5, *, max_iter: int = 100, seed: int = 42, doc_id: str = "doc_id", layout: int = LAYOUT
+) -> KMeansModel:
+    """Fit on ``(doc_id, features)``; ``k`` is lowered to the number of rows.
+
+    Only ``k`` rows are looked at for that. Rows are laid out by ``doc_id`` in ``LAYOUT`` sorted partitions, because the
+    start of the algorithm draws by partition: cores and input splits then don't change the result. The start takes
+    ``INIT_STEPS`` rounds of candidates, so that no far cluster is missed. The features are kept across the iterations and spill to disk where memory is short.
     """
     found = len(features.select(F.lit(1)).limit(k).collect())
     if found < 2:
         raise ValueError("clustering needs at least two rows")
-    kept = features.persist(StorageLevel.MEMORY_AND_DISK)
+    placed = features.repartition(layout, doc_id).sortWithinPartitions(doc_id)
+    kept = placed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return KMeans(k=min(k, found), maxIter=max_iter, seed=seed, featuresCol="features", predictionCol="cluster_id").fit(kept)
+        return KMeans(k=min(k, found), maxIter=max_iter, seed=seed, featuresCol="features", predictionCol="cluster_id", initSteps=INIT_STEPS).fit(kept)
     finally:
         kept.unpersist()
 
@@ -45,6 +55,25 @@ def assign_to_centers(points: DataFrame, centers: DataFrame, *, doc_id: str = "d
     return found.select(doc_id, F.col("cluster_id").cast("int").alias("cluster_id"), F.col("score").alias("distance"))
 
 
+def one_cluster_cost(features: DataFrame) -> float:
+    """Sum of squared distances to the mean of all rows."""
+    row = features.select(Summarizer.metrics("mean", "normL2", "count").summary(F.col("features")).alias("s")).first()["s"]
+    return float((row["normL2"].toArray() ** 2).sum() - row["count"] * (row["mean"].toArray() ** 2).sum())
+
+
+def fit_facts(model: KMeansModel, assigned: DataFrame) -> DataFrame:
+    """One row that any sound fit shares: points, clusters in range, and a cost no higher than that of one cluster."""
+    k = len(model.clusterCenters())
+    single = one_cluster_cost(assigned)
+    sizes = assigned.groupBy("cluster_id").agg(F.count("*").alias("size"))
+    return sizes.agg(
+        F.coalesce(F.sum("size"), F.lit(0)).alias("points"),
+        F.count_if(~F.col("cluster_id").between(0, k - 1)).alias("clusters_out_of_range"),
+        (F.count("*") <= k).alias("clusters_at_most_k"),
+        F.lit(bool(model.summary.trainingCost <= single * (1 + 1e-9))).alias("cost_not_above_one_cluster"),
+    )
+
+
 def silhouette(assigned: DataFrame) -> float:
     """Mean silhouette with squared Euclidean distances."""
     return ClusteringEvaluator(

@@ -23,8 +23,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from lexigrove.plans.runtime import BROADCAST_BYTES, broadcast_if_small, materialize
 
-# Scores are compared at this precision, so that equal vectors tie whatever the summing order.
-SCORE_DIGITS = 9
+# Cosines are compared at this precision, so that equal vectors tie whatever the summing order.
+COSINE_DIGITS = 9
+# Squared distances are compared at so many significant digits, for the same reason.
+DISTANCE_DIGITS = 13
 CHUNK_CELLS = 4_000_000
 TASKS_PER_CORE = 4
 ITEM_BLOCK_BYTES = 4 * BROADCAST_BYTES
@@ -48,17 +50,41 @@ def _to_block(data: pa.Table | pa.RecordBatch) -> _Block:
     return _Block(ids, keys, flat.reshape(len(ids), len(flat) // max(1, len(ids))))
 
 
-def _scores(queries: np.ndarray, items: np.ndarray, metric: str) -> np.ndarray:
-    """Query by item matrix in which smaller is nearer; NaN where a cosine is undefined."""
-    products = queries @ items.T
-    if metric == "cosine":
-        norms = np.linalg.norm(queries, axis=1)[:, None] * np.linalg.norm(items, axis=1)[None, :]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            scores = np.where(norms > 0, -products / norms, np.nan)
-    else:
-        squares = (queries * queries).sum(axis=1)[:, None] + (items * items).sum(axis=1)[None, :]
-        scores = np.maximum(squares - 2.0 * products, 0.0)
-    return np.round(scores, SCORE_DIGITS) + 0.0
+def _cosines(queries: np.ndarray, items: np.ndarray) -> np.ndarray:
+    """Query by item matrix of negative cosines; NaN where one is undefined."""
+    norms = np.linalg.norm(queries, axis=1)[:, None] * np.linalg.norm(items, axis=1)[None, :]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        scores = np.where(norms > 0, -(queries @ items.T) / norms, np.nan)
+    return np.round(scores, COSINE_DIGITS) + 0.0
+
+
+def _distances(queries: np.ndarray, items: np.ndarray, k: int, bound: np.ndarray) -> np.ndarray:
+    """Query by item matrix of squared distances; infinite where an item can't be among the best ``k``.
+
+    The product form is fast and cancels; it only selects, by its error bound, the pairs that may be among the best ``k``
+    here and within ``bound`` (the best so far). Those are computed again as sums of squared gaps.
+    """
+    squares = (queries * queries).sum(axis=1)[:, None] + (items * items).sum(axis=1)[None, :]
+    rough = squares - 2.0 * (queries @ items.T)
+    error = squares * (4 * np.finfo(np.float64).eps * (queries.shape[1] + 4))
+    if len(items) > k:
+        bound = np.minimum(bound, np.partition(rough + error, k - 1, axis=1)[:, k - 1])
+    rows, columns = np.nonzero(rough - error <= bound[:, None])
+    scores = np.full(rough.shape, np.inf)
+    step = max(1, CHUNK_CELLS // max(1, queries.shape[1]))
+    for start in range(0, len(rows), step):
+        r, c = rows[start : start + step], columns[start : start + step]
+        gaps = queries[r] - items[c]
+        scores[r, c] = _significant((gaps * gaps).sum(axis=1))
+    return scores
+
+
+def _significant(values: np.ndarray) -> np.ndarray:
+    """Rounded to ``DISTANCE_DIGITS`` significant digits, whatever the scale; so equal distances tie whatever the summing order."""
+    with np.errstate(divide="ignore", over="ignore", invalid="ignore"):
+        factor = 10.0 ** (DISTANCE_DIGITS - 1 - np.floor(np.log10(values)))
+        rounded = np.round(values * factor) / factor
+    return np.where(np.isfinite(rounded), rounded, values)
 
 
 class _Best:
@@ -106,7 +132,11 @@ def _search(best: _Best, queries: _Block, items: _Block, metric: str) -> None:
         step = max(1, CHUNK_CELLS // len(rows))
         for start in range(0, len(chosen), step):
             part = chosen[start : start + step]
-            best.add(rows, _scores(queries.vectors[rows], items.vectors[part], metric), items.ids[part])
+            if metric == "cosine":
+                scores = _cosines(queries.vectors[rows], items.vectors[part])
+            else:
+                scores = _distances(queries.vectors[rows], items.vectors[part], best.k, best.scores[rows, -1])
+            best.add(rows, scores, items.ids[part])
 
 
 def _prepared(df: DataFrame, id_col: str, vector_col: str, key: str | None) -> DataFrame:
@@ -150,8 +180,7 @@ def _by_broadcast_queries(queries: DataFrame, items: DataFrame, k: int, metric:
                 _search(best, wanted, _to_block(batch), metric)
         yield best.to_arrow(wanted.ids)
 
-    if len(keys) <= 1000:
-        items = items.filter(F.col("key").isin(keys))
+    items = items.filter(F.col("key").isin(keys))
     # Every task answers every query, so a few splits share a task; fewer splits stay as they are.
     tasks = TASKS_PER_CORE * items.sparkSession.sparkContext.defaultParallelism
     return items.coalesce(tasks).mapInArrow(scan, _RESULT)

@@ -39,13 +39,16 @@ def cluster_term_weights(tokens: DataFrame, *, doc_id: str = "doc_id") -> DataFr
     weighted = by_cluster.filter(F.col("tf") > 0).join(vocabulary, "term").join(sizes, "cluster_id")
     return weighted.select(
         "cluster_id", "term",
-        F.round(F.col("tf") * idf(n_documents, F.col("df")) / F.col("n_docs"), WEIGHT_DIGITS).alias("weight"),
+        (F.col("tf") * idf(n_documents, F.col("df")) / F.col("n_docs")).alias("weight"),
     )
 
 
 def top_terms(weights: DataFrame, n: int = 10) -> DataFrame:
-    """``(cluster_id, rank, term, weight)``: the heaviest terms with a positive weight."""
-    order = Window.partitionBy("cluster_id").orderBy(F.desc("weight"), "term")
+    """``(cluster_id, rank, term, weight)``: the heaviest terms with a positive weight.
+
+    Weights are compared at ``WEIGHT_DIGITS`` digits, so that the order of adding doesn't decide; equal ones rank by term.
+    """
+    order = Window.partitionBy("cluster_id").orderBy(F.round("weight", WEIGHT_DIGITS).desc(), "term")
     return (
         weights.filter(F.col("weight") > 0)
         .withColumn("rank", F.row_number().over(order))
@@ -157,7 +160,9 @@ def describe_clusters(
     terms = materialize(
         centroid_norms(weights).join(term_list(top_terms(weights, n_terms)), "cluster_id", "left")
     )
-    firsts = first_texts(documents, 10, list(dict.fromkeys([raw_text, text])), doc_id=doc_id)
+    # raw texts are joined and the few that are left cleaned; stored, because snippets and prefixes both read them
+    firsts = materialize(first_texts(documents, 10, [raw_text], doc_id=doc_id))
+    cleaned = firsts.withColumn("_clean", X.clean_text(raw_text))
     cut = snippets(firsts, terms, doc_id=doc_id, raw_text=raw_text, n_snippets=n_snippets)
     cut_lists = cut.groupBy("cluster_id").agg(
         F.transform(
@@ -171,7 +176,7 @@ def describe_clusters(
     total = basics.agg(F.sum("size")).scalar()
     joined = (
         basics.join(terms, "cluster_id", "left")
-        .join(topic_prefixes(firsts, text=text), "cluster_id", "left")
+        .join(topic_prefixes(cleaned, text="_clean"), "cluster_id", "left")
         .join(formats, "cluster_id", "left")
         .join(cut_lists, "cluster_id", "left")
     )

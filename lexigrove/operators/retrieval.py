@@ -72,7 +72,12 @@ def cluster_aware_search(
     filter of its scan.
     """
     chosen = materialize(select_cluster(queries, centers, query_id=query_id))
-    placed = queries.join(chosen, query_id)
+    return search_chosen(queries, store, chosen, k, query_id=query_id, **names)
+
+
+def search_chosen(queries: DataFrame, store: DataFrame, chosen: DataFrame, k: int = 5, *, query_id: str = "query_id", **names) -> DataFrame:
+    """Search each query's chosen cluster; ``chosen`` is the stored result of ``select_cluster``."""
+    placed = materialize(queries.join(chosen.select(query_id, "cluster_id"), query_id))
     found = nearest(placed, store, k, metric="l2", query_id=query_id, key="cluster_id", **names)
     return found.withColumnRenamed("score", "distance").join(chosen, query_id)
 
@@ -101,15 +106,29 @@ def documents_searched(chosen: DataFrame, store: DataFrame, *, query_id: str = "
     )
 
 
-def compare_searches(aware: DataFrame, flat: DataFrame, *, query_id: str = "query_id") -> DataFrame:
-    """Per query: hits of both methods and how many documents they share."""
+def compare_searches(
+    aware: DataFrame, flat: DataFrame, searched: DataFrame | None = None, *, aware_ms: float | None = None,
+    flat_ms: float | None = None, query_id: str = "query_id",
+) -> DataFrame:
+    """Per query: hits of both methods and how many documents they share.
+
+    ``searched`` (from ``documents_searched``) adds the documents read and the share saved; the two times of a query add
+    the speedup (0 for a time of 0) and the difference.
+    """
     both = (
         flat.select(query_id, "doc_id", F.lit(1).alias("f"), F.lit(0).alias("c"))
         .unionByName(aware.select(query_id, "doc_id", F.lit(0).alias("f"), F.lit(1).alias("c")))
         .groupBy(query_id, "doc_id")
         .agg(F.max("f").alias("f"), F.max("c").alias("c"))
     )
-    return both.groupBy(query_id).agg(
+    compared = both.groupBy(query_id).agg(
         F.sum("f").alias("flat_hits"), F.sum("c").alias("aware_hits"),
         F.sum(F.col("f") * F.col("c")).alias("shared_hits"),
     )
+    if searched is not None:
+        compared = compared.join(searched.select(query_id, "docs_searched", "flat_docs_searched", "reduction_pct"), query_id, "left")
+    if aware_ms is not None and flat_ms is not None:
+        compared = compared.withColumns({
+            "speedup": F.lit(flat_ms / aware_ms if aware_ms else 0.0), "latency_diff_ms": F.lit(float(flat_ms - aware_ms)),
+        })
+    return compared

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import HashingTF, IDF
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lexigrove.plans.runtime import materialize
+
 NUM_FEATURES = 5000
 DOCUMENT_MARK = ""
 
@@ -61,14 +62,15 @@ def idf(n_documents: Column, df: Column) -> Column:
 def tfidf(tokens: DataFrame, *, doc_id: str = "doc_id", max_terms: int | None = None) -> DataFrame:
     """``(doc_id, term, tf, df, tfidf)`` over the true vocabulary.
 
-    ``max_terms`` keeps the vocabulary's most frequent terms only, as a bounded baseline does.
+    ``max_terms`` keeps the vocabulary's most frequent terms only, as a bounded baseline does. The document frequencies are
+    stored when called: the join then has a plain exchange on either side, and the rows of a term that every
+    document has can be split over tasks.
     """
     tf = marked_term_frequency(place_tokens(tokens, doc_id=doc_id), doc_id=doc_id)
-    vocabulary = document_frequency(tf)
-    n_documents = marked_count(vocabulary, "df")
+    totals = materialize(tf.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("total")))
+    n_documents = marked_count(totals, "df")
+    vocabulary = totals.select("term", "df")
     if max_terms is not None:
-        totals = tf.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("total"))
-        n_documents = marked_count(totals, "df")
         vocabulary = totals.orderBy(F.desc("total"), "term").limit(max_terms).select("term", "df")
     return tf.filter(F.col("tf") > 0).join(vocabulary, "term").select(
         doc_id, "term", "tf", "df", (F.col("tf") * idf(n_documents, F.col("df"))).alias("tfidf")
@@ -101,8 +103,11 @@ def hashed_tfidf(
 
 def feature_rows(features: DataFrame, *, doc_id: str = "doc_id", column: str = "features") -> DataFrame:
     """Vectors as ``(doc_id, feature, weight)`` rows of their non-zero entries."""
-    entries = features.select(doc_id, F.posexplode_outer(vector_to_array(column)).alias("feature", "weight"))
-    return entries.filter(F.col("weight") != 0)
+    parts = features.select(doc_id, F.unwrap_udt(column).alias("_v"))
+    # a sparse vector lists its indices; a dense one has them by position
+    at = F.coalesce(F.col("_v.indices"), F.sequence(F.lit(0), F.size("_v.values") - 1))
+    pairs = parts.select(doc_id, F.explode_outer(F.arrays_zip(at.alias("feature"), F.col("_v.values").alias("weight"))).alias("_p"))
+    return pairs.select(doc_id, F.col("_p")["feature"].alias("feature"), F.col("_p")["weight"].alias("weight")).filter(F.col("weight") != 0)
 
 
 def feature_name(index: Column) -> Column:
