@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lexigrove.functions import text as X, vectors as V
@@ -11,8 +12,8 @@ from lexigrove.operators import (
     clusters as C, encoder as E, evaluate as EV, profile as P, retrieval as R, running as RU, similarity as S,
     tfidf as T, tokens as K,
 )
-from lexigrove.plans.runtime import scratch_path, spread
-from lexigrove.sources import files
+from lexigrove.plans.runtime import materialize, scratch_path, spread
+from lexigrove.sources import files, tables
 from lexigrove.streaming import embed as ST
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,6 +118,34 @@ def json_documents(spark, sf_dir):
     )
 
 
+# files
+
+@query
+def corpus_roundtrip(spark, sf_dir):
+    """Documents written as JSON lines and read back."""
+    path = scratch_path(spark, "corpus")
+    docs = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("file_name"), "text", F.col("n_chars").cast("int").alias("word_count"),
+        F.lit(0.5).alias("extraction_time"), F.lit(True).alias("success"),
+    )
+    tables.write_corpus_jsonl(docs, path, include_metadata=False)
+    return tables.read_corpus_jsonl(spark, path).select(
+        "doc_id", "text", F.col("word_count").cast("long").alias("word_count"), "processing_time"
+    )
+
+
+@query
+def files_roundtrip(spark, sf_dir):
+    """Every document as a text file of its own, parsed back from the folder."""
+    path = scratch_path(spark, "files")
+    documents(spark, sf_dir, "text").write.partitionBy("doc_id").text(path)
+    rows = tables.structured_documents(files.parse_directory(spark, path, ["*.txt"]), keep=("file_path",))
+    return rows.select(
+        F.regexp_extract("file_path", r"doc_id=(\d+)/", 1).cast("long").alias("doc_id"), "format", "raw_text", "text",
+        F.col("word_count").cast("long").alias("word_count"),
+    )
+
+
 # features
 
 @query
@@ -176,22 +205,27 @@ def cluster_centroids(spark, sf_dir):
 def kmeans_assign(spark, sf_dir):
     vectors = store(spark, sf_dir)
     found = C.assign_to_centers(vectors, R.centroids(vectors))
-    return found.select("doc_id", F.col("cluster_id").cast("long").alias("cluster_id"), "distance")
+    return found.select("doc_id", F.col("cluster_id").cast("long").alias("cluster_id"), *rounded(9, "distance"))
 
 
 @query
 def kmeans_cluster(spark, sf_dir):
-    features = store(spark, sf_dir).select("doc_id", V.to_ml("embedding").alias("features"))
+    """What any sound fit of ten centres fulfils; points not at their nearest centre are found by the exact search."""
+    vectors = store(spark, sf_dir)
+    features = vectors.select("doc_id", V.to_ml("embedding").alias("features"))
     model = C.fit_kmeans(features, 10, max_iter=20)
-    return C.assign(model, features).select("doc_id", F.col("cluster_id").cast("long").alias("cluster_id"))
+    assigned = C.assign(model, features)
+    nearest = C.assign_to_centers(vectors, C.centers(spark, model)).select("doc_id", F.col("cluster_id").alias("nearest"))
+    wrong = assigned.join(nearest, "doc_id", "left").filter(~F.col("cluster_id").eqNullSafe(F.col("nearest")))
+    return C.fit_facts(model, assigned).withColumn("not_nearest", wrong.agg(F.count("*")).scalar())
 
 
 @query
 def kmeans_documents(spark, sf_dir):
-    """Hashed TF-IDF of the corpus clustered with ten centres."""
-    features = T.hashed_tfidf(K.tokenize_documents(documents(spark, sf_dir, "text")))
+    """Hashed TF-IDF of the corpus clustered with ten centres: what any sound fit fulfils."""
+    features = materialize(T.hashed_tfidf(K.tokenize_documents(documents(spark, sf_dir, "text"))))
     model = C.fit_kmeans(features, 10, max_iter=20)
-    return C.assign(model, features).select("doc_id", F.col("cluster_id").cast("long").alias("cluster_id"))
+    return C.fit_facts(model, C.assign(model, features))
 
 
 @query
@@ -204,15 +238,15 @@ def silhouette(spark, sf_dir):
 def cluster_top_terms(spark, sf_dir):
     ranked = P.top_terms(P.cluster_term_weights(cluster_tokens(spark, sf_dir)))
     return ranked.select(
-        F.col("cluster_id").cast("long").alias("cluster_id"), F.col("rank").cast("long").alias("rank"), "term", "weight"
+        F.col("cluster_id").cast("long").alias("cluster_id"), F.col("rank").cast("long").alias("rank"), "term", *rounded(9, "weight")
     )
 
 
 @query
 def cluster_label(spark, sf_dir):
     terms = P.term_list(P.top_terms(P.cluster_term_weights(cluster_tokens(spark, sf_dir))))
-    cleaned = clustered(spark, sf_dir, "text").withColumn("text", X.clean_text("text"))
-    prefixes = P.topic_prefixes(P.first_texts(cleaned, 5, ["text"]))
+    firsts = P.first_texts(clustered(spark, sf_dir, "text"), 5, ["text"])
+    prefixes = P.topic_prefixes(firsts.withColumn("text", X.clean_text("text")))
     names = F.transform("top_terms", lambda t: t["term"])
     return terms.join(prefixes, "cluster_id", "left").select(
         F.col("cluster_id").cast("long").alias("cluster_id"), P.label(names, F.col("prefix")).alias("label"),
@@ -315,7 +349,17 @@ def vector_store_totals(spark, sf_dir):
 @query
 def flat_knn(spark, sf_dir):
     found = R.flat_search(vector_queries(spark, sf_dir), store(spark, sf_dir), 5)
-    return found.select("query_id", F.col("rank").cast("long").alias("rank"), "doc_id", "distance")
+    return found.select("query_id", F.col("rank").cast("long").alias("rank"), "doc_id", *rounded(9, "distance"))
+
+
+@query
+def flat_knn_scaled(spark, sf_dir):
+    """``flat_knn`` over vectors a million times shorter; distances are shown in units of 1e-12."""
+    short = store(spark, sf_dir).withColumn("embedding", F.transform("embedding", lambda v: v.cast("double") * 1e-6))
+    found = R.flat_search(short.withColumnRenamed("doc_id", "query_id"), short, 5)
+    return found.select(
+        "query_id", F.col("rank").cast("long").alias("rank"), "doc_id", F.round(F.col("distance") * 1e12, 6).alias("distance")
+    )
 
 
 @query
@@ -329,7 +373,20 @@ def cluster_aware_knn(spark, sf_dir):
     vectors = store(spark, sf_dir)
     found = R.cluster_aware_search(vector_queries(spark, sf_dir), vectors, R.centroids(vectors), 5)
     return found.select(
-        "query_id", F.col("rank").cast("long").alias("rank"), "doc_id", "distance",
+        "query_id", F.col("rank").cast("long").alias("rank"), "doc_id", *rounded(9, "distance"),
+        F.col("cluster_id").cast("long").alias("cluster_id"), "similarity",
+    )
+
+
+@query
+def store_roundtrip(spark, sf_dir):
+    """``cluster_aware_knn`` on the store written by cluster and loaded again: chosen clusters become partition filters."""
+    path = scratch_path(spark, "store")
+    tables.write_store(store(spark, sf_dir), path)
+    loaded = tables.read_store(spark, path)
+    found = R.cluster_aware_search(vector_queries(spark, sf_dir), loaded, R.centroids(loaded), 5)
+    return found.select(
+        "query_id", F.col("rank").cast("long").alias("rank"), "doc_id", *rounded(9, "distance"),
         F.col("cluster_id").cast("long").alias("cluster_id"), "similarity",
     )
 
@@ -345,9 +402,11 @@ def search_space_reduction(spark, sf_dir):
 @query
 def retrieval_compare(spark, sf_dir):
     vectors, asked = store(spark, sf_dir), vector_queries(spark, sf_dir)
-    aware = R.cluster_aware_search(asked, vectors, R.centroids(vectors), 5)
+    chosen = materialize(R.select_cluster(asked, R.centroids(vectors)))
+    aware = R.search_chosen(asked, vectors, chosen, 5)
     flat = R.flat_search(asked, vectors, 5)
-    return R.compare_searches(aware, flat)
+    compared = R.compare_searches(aware, flat, R.documents_searched(chosen, vectors))
+    return compared.withColumn("reduction_pct", F.round("reduction_pct", 9))
 
 
 def _classes(spark, sf_dir):
@@ -505,3 +564,22 @@ def stream_embed(spark, sf_dir):
     ST.wait_for_completion(running)
     rows = E.embedding_rows(ST.embeddings(spark, out), "doc_id")
     return rows.select("doc_id", F.col("dim").cast("long").alias("dim"), F.round(F.col("value").cast("double"), 6).alias("value"))
+
+
+def _lengths(texts):
+    return np.array([[len(t)] for t in texts], dtype=np.float32)
+
+
+@query
+def stream_latest(spark, sf_dir):
+    """Every document sent twice in one batch, first with another text; the one with the higher sequence number stays."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    sent = scratch_path(spark, "sent")
+    both = docs.select("doc_id", "text", F.lit(2).alias("version")).unionByName(
+        docs.select("doc_id", F.lit("an older text").alias("text"), F.lit(1).alias("version"))
+    )
+    both.write.parquet(sent)
+    out = scratch_path(spark, "latest")
+    running = ST.start_embedding(ST.read_document_stream(spark, sent, both.schema), _lengths, out, f"{out}-state", sequence="version")
+    ST.wait_for_completion(running)
+    return ST.embeddings(spark, out).select("doc_id", F.get("embedding", F.lit(0)).cast("long").alias("n_chars"))

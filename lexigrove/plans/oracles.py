@@ -229,10 +229,19 @@ ORACLES["search_space_reduction"] = f"""
 WITH {SELECTED}, s AS (SELECT label AS cluster_id, count(*) AS n FROM embeddings GROUP BY label), t AS (SELECT count(*) AS t FROM embeddings)
 SELECT query_id, n AS docs_searched, t AS flat_docs_searched, round((1.0::DOUBLE - n::DOUBLE / t::DOUBLE) * 100, 9) AS reduction_pct
 FROM chosen JOIN s USING (cluster_id), t"""
+ORACLES["store_roundtrip"] = ORACLES["cluster_aware_knn"]
+SHORT = "(SELECT vec_id, list_transform(embedding, lambda v: v::DOUBLE * 1e-6::DOUBLE) AS embedding FROM embeddings)"
+ORACLES["flat_knn_scaled"] = f"""
+WITH d AS (SELECT q.vec_id AS query_id, e.vec_id AS doc_id, {SQ_L2 % ('q.embedding', 'e.embedding')} * 1e12::DOUBLE AS distance FROM {SHORT} q, {SHORT} e),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(distance, 9), doc_id) AS rank FROM d)
+SELECT query_id, rank, doc_id, round(distance, 6) AS distance FROM r WHERE rank <= 5"""
 ORACLES["retrieval_compare"] = f"""
-WITH {AWARE}, {FLAT}
-SELECT query_id, count(f.doc_id) AS flat_hits, count(a.doc_id) AS aware_hits, count(CASE WHEN a.doc_id = f.doc_id THEN 1 END) AS shared_hits
-FROM flat f FULL JOIN aware a USING (query_id, doc_id) GROUP BY query_id"""
+WITH {AWARE}, {FLAT}, hits AS (
+  SELECT query_id, count(f.doc_id) AS flat_hits, count(a.doc_id) AS aware_hits, count(CASE WHEN a.doc_id = f.doc_id THEN 1 END) AS shared_hits
+  FROM flat f FULL JOIN aware a USING (query_id, doc_id) GROUP BY query_id),
+s AS (SELECT label AS cluster_id, count(*) AS n FROM embeddings GROUP BY label), t AS (SELECT count(*) AS t FROM embeddings)
+SELECT hits.*, n AS docs_searched, t AS flat_docs_searched, round((1.0::DOUBLE - n::DOUBLE / t::DOUBLE) * 100, 9) AS reduction_pct
+FROM hits JOIN chosen USING (query_id) JOIN s USING (cluster_id), t"""
 
 
 def _precision(found: str) -> str:
@@ -316,3 +325,16 @@ WITH {SCALING} SELECT (SELECT num_workers FROM a ORDER BY speedup DESC, num_work
 ORACLES["latest_wins"] = """
 SELECT user_id, event_id, event_type, value FROM
   (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1"""
+
+ORACLES["kmeans_cluster"] = """
+SELECT count(*) AS points, 0::BIGINT AS clusters_out_of_range, true AS clusters_at_most_k, true AS cost_not_above_one_cluster,
+  0::BIGINT AS not_nearest FROM embeddings"""
+ORACLES["kmeans_documents"] = f"""
+WITH {RAW_DOCS} SELECT count(*) AS points, 0::BIGINT AS clusters_out_of_range, true AS clusters_at_most_k, true AS cost_not_above_one_cluster FROM docs"""
+ORACLES["corpus_roundtrip"] = f"""
+SELECT doc_id::VARCHAR AS doc_id, text, n_chars AS word_count, 0.5::DOUBLE AS processing_time FROM documents WHERE {NOT_BLANK}"""
+_FILES = f"(SELECT doc_id, {STRIP % 'text'} AS text FROM documents)"
+ORACLES["files_roundtrip"] = f"""
+SELECT d.doc_id, '.txt' AS format, d.text AS raw_text, c.text, {WORDS % 'd.text'} AS word_count
+FROM {_FILES} d JOIN ({ORACLES["clean_text"]}) c ON c.doc_id = d.doc_id"""
+ORACLES["stream_latest"] = "SELECT doc_id, length(text) AS n_chars FROM documents"

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 BROADCAST_BYTES = 32 * 1024 * 1024
-SMALL_INPUT_BYTES_PER_CORE = 32 * 1024 * 1024
 
 
 def local_session(app: str = "lexigrove", cores: str = "*", **conf: str) -> SparkSession:
@@ -45,9 +46,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a written table in the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what operators stored inside; results that are still to be read must be written before.
+
+    Operators store steps when they are called, and outside of a scope these tables stay.
+    """
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.remove(paths)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -76,14 +101,10 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     return F.broadcast(stored) if stored.count() <= max_rows else stored
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Size estimate of the optimiser; no job runs."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def spread(df: DataFrame) -> DataFrame:
-    """Spread an input of few splits over all cores; a large input keeps its own splits."""
+    """Spread an input of fewer files than cores over all cores; other inputs keep their own splits.
+
+    Only speed depends on it: what depends on the layout (K-means) takes a fixed one of its own.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if estimated_bytes(df) < cores * SMALL_INPUT_BYTES_PER_CORE:
-        return df.repartition(cores)
-    return df
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
