@@ -50,14 +50,14 @@ def lemmatize_documents(
 ) -> DataFrame:
     """Advanced cleaning: letters only, no stop or short words, each form replaced by its lemma.
 
-    ``lemmas`` is the caller's ``(form, lemma)`` table with one row per form. Texts go to their
-    document's partition before they are taken apart, so putting them together again needs no
-    further shuffle where the lemma table is broadcast.
+    ``lemmas`` is the caller's ``(form, lemma)`` table with one row per form. Texts are cleaned where they are read; the word
+    lists that are left go to their document's partition before they are taken apart, so putting them together again
+    needs no further shuffle where the lemma table is broadcast.
     """
     words = (
-        documents.select(doc_id, text).repartition(doc_id)
-        .select(doc_id, F.split(X.clean_text(text), " ").alias("words"))
+        documents.select(doc_id, F.split(X.clean_text(text), " ").alias("words"))
         .select(doc_id, X.without_stop_words(F.col("words"), stop_words).alias("words"))
+        .repartition(doc_id)
     )
     placed = words.select(doc_id, F.posexplode_outer("words").alias("pos", "form"))
     joined = placed.join(broadcast_if_small(lemmas.select("form", "lemma"), 500_000), "form", "left")

@@ -90,7 +90,9 @@ def ngrams(spark, sf_dir):
 def lemma_clean(spark, sf_dir):
     """Lemma table made from the corpus: a form in -s whose stem is a word of the corpus too."""
     docs = documents(spark, sf_dir, "text")
-    words = docs.select(F.explode_outer(F.split(X.clean_text("text"), " ")).alias("w")).filter(F.length("w") > 2).distinct()
+    words = materialize(
+        docs.select(F.explode_outer(F.split(X.clean_text("text"), " ")).alias("w")).filter(F.length("w") > 2).distinct()
+    )
     forms = words.filter(F.col("w").endswith("s")).select(
         F.col("w").alias("form"), F.expr("substring(w, 1, length(w) - 1)").alias("lemma")
     )
