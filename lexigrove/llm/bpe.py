@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame, types as T
 
 #: Bounds of the tables each task keeps; a full table is emptied, which costs time and changes no result.
-MAX_STATES, MAX_WORDS, MAX_WORD_CHARS = 300_000, 400_000, 64
+MAX_STATES, MAX_WORDS, MAX_WORD_CHARS = 250_000, 300_000, 64
 
 Hypothesis = tuple[tuple[int, ...], int, bytes]
 
@@ -68,7 +68,7 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
-        self.open = {token[:i] for token in ranks for i in range(1, len(token))}
+        self.open = {p: p for p in {token[:i] for token in ranks for i in range(1, len(token))}}
         self.pairs: dict[tuple[int, int], bool] = {}
         self._reset()
 
@@ -76,6 +76,7 @@ class Transducer:
         start: tuple[Hypothesis, ...] = (((), -1, b""),)
         self.numbers = {start: 0}
         self.states = [start]
+        self.hypotheses: dict[Hypothesis, Hypothesis] = {}
         self.moves: dict[int, tuple[tuple[int, ...], int]] = {}
         self.ends: list[tuple[int, ...] | None] = [()]
 
@@ -83,7 +84,7 @@ class Transducer:
         """Whether merging the joined bytes of both tokens gives these two tokens."""
         known = self.pairs.get((left, right))
         if known is None:
-            if len(self.pairs) >= 8 * MAX_STATES:
+            if len(self.pairs) >= MAX_STATES:
                 self.pairs.clear()
             joined = (self.bytes_of[left] if left >= 0 else b"") + self.bytes_of[right]
             known = merge_pieces(joined, self.ranks) == ([left, right] if left >= 0 else [right])
@@ -97,8 +98,9 @@ class Transducer:
         letter = bytes((byte,))
         for pending, last, tail in self.states[number]:
             longer = tail + letter
-            if longer in self.open:
-                reached.append((pending, last, longer))
+            known = self.open.get(longer)
+            if known is not None:
+                reached.append((pending, last, known))
             token = self.ranks.get(longer)
             if token is not None and self.fits(last, token):
                 closed.append(((*pending, token), token, b""))
@@ -113,7 +115,9 @@ class Transducer:
                 while k < shared and pending[k] == first[k]:
                     k += 1
                 shared = k
-            state = tuple((pending[shared:], last, tail) for pending, last, tail in reached)
+            # hypotheses are kept once, as many states have the same ones
+            share = self.hypotheses.setdefault
+            state = tuple(share(h, h) for h in ((pending[shared:], last, tail) for pending, last, tail in reached))
             target = self.numbers.get(state)
             if target is None:
                 target = self.numbers[state] = len(self.states)
@@ -257,25 +261,49 @@ def _without(df: DataFrame, output: str) -> list[T.StructField]:
     return [f for f in df.schema.fields if f.name.lower() != output.lower()]
 
 
+def _with_ids(part: pa.RecordBatch, text: str, encode_one) -> tuple[list[np.ndarray], pa.Array]:
+    """Ids of each text, and as one Arrow column."""
+    ids = [np.array(encode_one(t.as_py()), np.int32) for t in part.column(text)]
+    ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+    flat = pa.array(np.concatenate([np.empty(0, np.int32), *ids]))
+    kind = pa.list_(pa.field("element", pa.int32(), False))
+    return ids, pa.ListArray.from_arrays(pa.array(ends), flat, type=kind)
+
+
 def encode(df: DataFrame, ranks_path: str, pattern: str, *, text: str = "text", output: str = "token_ids") -> DataFrame:
     """``df`` with the ids of each whole text; no special tokens."""
     raw = df.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
     kept = _without(df, output)
     names = [f.name for f in kept]
-    element = pa.field("element", pa.int32(), False)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_one = Encoder(raw.value, pattern).encode
         for part in _parts(batches):
-            ids = [np.array(encode_one(t.as_py()), np.int32) for t in part.column(text)]
-            ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-            flat = pa.array(np.concatenate([np.empty(0, np.int32), *ids]))
-            column = pa.ListArray.from_arrays(pa.array(ends), flat, type=pa.list_(element))
+            column = _with_ids(part, text, encode_one)[1]
             yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), column], [*names, output])
 
     return df.mapInArrow(run, T.StructType([*kept, T.StructField(output, T.ArrayType(T.IntegerType(), False))]))
 
 
+def round_trip(
+    df: DataFrame, ranks_path: str, pattern: str, *, text: str = "text", tokens: str = "token_ids", output: str = "decoded"
+) -> DataFrame:
+    """``encode`` and ``decode`` of its ids in one pass, so that one worker holds the vocabulary once."""
+    raw = df.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+    kept = [f for f in _without(df, output) if f.name.lower() != tokens.lower()]
+    names = [f.name for f in kept]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode_one, decode_one = Encoder(raw.value, pattern).encode, StreamDecoder(raw.value).decode
+        for part in _parts(batches):
+            ids, column = _with_ids(part, text, encode_one)
+            texts = pa.array((decode_one(i.tolist()) for i in ids), pa.string())
+            yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), column, texts], [*names, tokens, output])
+
+    kinds = [T.StructField(tokens, T.ArrayType(T.IntegerType(), False)), T.StructField(output, T.StringType())]
+    return df.mapInArrow(run, T.StructType([*kept, *kinds]))
+
+
 def decode(df: DataFrame, ranks_path: str, *, tokens: str = "token_ids", output: str = "decoded") -> DataFrame:
     """``df`` with the text of each list of ids; null counts as empty."""
     raw = df.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))

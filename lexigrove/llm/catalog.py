@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from lexigrove.llm.oracles import LLM_ORACLES
 from lexigrove.llm import bpe, decontaminate, fuzzyhash, langid, pii, quality, shards, simhash, toxicity, urls
 
 URL_RULES = [
@@ -73,9 +74,7 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded and decoded again; lengths and digests of both."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = bpe.encode(docs, RANKS, public_tokenizers.PATTERN).select("doc_id", "token_ids")
-    decoded = bpe.decode(encoded, RANKS)
-    return decoded.select(
+    return bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN).select(
         "doc_id",
         F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
@@ -117,4 +116,4 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pii": op10_pii,
 }
 
-LLM_ORACLES: dict[str, str] = {}
+__all__ = ["LLM_ORACLES", "LLM_QUERIES"]

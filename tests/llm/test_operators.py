@@ -287,6 +287,8 @@ def test_bpe_is_that_of_the_library(spark, documents, odd, nothing):
     rows = bpe.decode(bpe.encode(odd, RANKS, public_tokenizers.PATTERN), RANKS).collect()
     assert len(rows) == 9 and all(r["decoded"] == (r["text"] or "") for r in rows)
     assert all(r["token_ids"] == theirs.encode_ordinary(r["text"] or "") for r in rows)
+    both = bpe.round_trip(odd, RANKS, public_tokenizers.PATTERN).collect()
+    assert sorted((r["token_ids"], r["decoded"]) for r in both) == sorted((r["token_ids"], r["decoded"]) for r in rows)
     assert bpe.encode(nothing, RANKS, public_tokenizers.PATTERN).count() == 0
 
 
