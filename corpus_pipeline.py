@@ -40,8 +40,7 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, and whether decoding them gives the text back."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = bpe.encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
-    decoded = bpe.decode(encoded, ranks)
+    decoded = bpe.round_trip(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
     return decoded.select(
         "doc_id", "token_ids", F.size("token_ids").cast("long").alias("n_tokens"),
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
