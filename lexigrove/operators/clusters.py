@@ -14,7 +14,7 @@ from lexigrove.operators.nearest import nearest_of_few
 
 
 #: Partitions of the fit; a large corpus takes more, and then always as many.
-LAYOUT = 64
+LAYOUT = 16
 INIT_STEPS = 5
 
 
