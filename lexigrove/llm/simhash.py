@@ -26,6 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+from lexigrove.llm import shingles
 from lexigrove.llm.components import connected_components
 from lexigrove.plans.runtime import materialize
 
@@ -281,24 +282,42 @@ def components(docs: DataFrame, *, feature: Feature = Feature(), max_bits: int =
     )
 
 
-#: Near copies on five-word shingles: two fingerprints over longer words find the candidates, two over
-#: five-word shingles prove them. At a similarity of 0.8 these 128 bits differ in 19 places on average (deviation 4).
-CANDIDATE = {"f1": Feature(1, 42, 5), "f2": Feature(1, 43, 5)}
-PROOF = {"p1": Feature(5, 44), "p2": Feature(5, 45)}
-CANDIDATE_BITS, PROOF_BITS = 5, 26
+#: Fingerprint over longer words that proposes near copies, and the bits in which it may differ.
+CANDIDATE, CANDIDATE_BITS = Feature(1, 42, 5), 5
+
+
+def _print_sets(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """``(doc_id, text_hash, node, fp)``: a number for the set of five-word shingles, and the candidate fingerprint."""
+    source = docs.select(doc_id, F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_hash"), F.col(text).alias("_text"))
+    kept = source.schema.fields[:-1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = np.empty((2, batch.num_rows), np.int64)
+            for i, value in enumerate(batch.column("_text")):
+                words = words_of(value.as_py())
+                out[0, i] = shingles.node_of(shingles.shingle_set(shingles.word_hashes(words)))
+                out[1, i] = _signed(fingerprint(words, CANDIDATE))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *map(pa.array, out)], [*(f.name for f in kept), "node", "fp"])
+
+    return source.mapInArrow(run, T.StructType([*kept, *(T.StructField(n, T.LongType()) for n in ("node", "fp"))]))
 
 
 def near_copies(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``(doc_id, text_hash, component_id, first)`` for every row: groups of texts alike to 0.8 on five-word shingles.
+    """``(doc_id, text_hash, component_id, first)`` for every row: components of texts alike to 0.8 on five-word shingles.
 
+    Fingerprints propose pairs, an exact join adds all that they miss, and every link is verified on the whole texts.
     ``first`` marks the one row of a group to keep: the smallest id, of equal ids the smallest text hash.
     """
-    names = [*CANDIDATE, *PROOF]
-    rows = fingerprints(docs, {**CANDIDATE, **PROOF}, text=text, keep=[doc_id])
-    rows = materialize(rows.withColumn("node", F.xxhash64(*names)))
+    rows = materialize(_print_sets(docs, text, doc_id))
     key = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col("text_hash").alias("hash"))
-    nodes = materialize(rows.groupBy("node", *names).agg(F.min(key).alias("smallest")))
-    found = links(nodes, list(CANDIDATE), max_bits=CANDIDATE_BITS, proofs=list(PROOF), max_proof=PROOF_BITS)
+    nodes = materialize(rows.groupBy("node").agg(F.min(key).alias("smallest"), F.min("text_hash").alias("text_hash"), F.min("fp").alias("fp")))
+    prints = materialize(nodes.groupBy("fp").agg(F.min("node").alias("node")))
+    near = links(prints.select(F.col("fp").alias("node"), "fp"), ["fp"], max_bits=CANDIDATE_BITS)
+    ends = [prints.select(F.col("fp").alias(c), F.col("node").alias(n)) for c, n in (("node", "a"), ("other", "b"))]
+    proposed = near.join(ends[0], "node").join(ends[1], "other").select("a", "b")
+    proposed = proposed.union(nodes.join(prints.withColumnRenamed("node", "b"), "fp").select("node", "b"))
+    found = shingles.alike(docs, nodes.select("node", "text_hash"), proposed, words_of, text=text)
     groups = _grouped(nodes, found)
     return rows.join(groups, "node").select(
         doc_id, "text_hash", F.col("component_id")["id"].alias("component_id"), (key == F.col("component_id")).alias("first")

@@ -11,7 +11,7 @@ import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 
-from lexigrove.llm import bpe, decontaminate, fuzzyhash, langid, pii, quality, shards, simhash, toxicity, urls
+from lexigrove.llm import bpe, decontaminate, fuzzyhash, langid, pii, quality, shards, shingles, simhash, toxicity, urls
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string, fingerprint string, _row string"
@@ -271,6 +271,42 @@ def test_near_copies_leave_one_row(spark, odd, nothing):
     assert simhash.keep_one(nothing).count() == 0
 
 
+def brute_kept(rows):
+    """Smallest id of each component of exact similarity 0.8 on five-word shingles."""
+    sets = []
+    for _, text in rows:
+        words = text.lower().split()
+        size = min(5, len(words))
+        sets.append({tuple(words[i : i + size]) for i in range(len(words) - size + 1)} if words else set())
+    root = list(range(len(rows)))
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        common = len(sets[i] & sets[j])
+        if 10 * common >= 8 * (len(sets[i]) + len(sets[j]) - common):
+            a, b = root[i], root[j]
+            root = [a if r == b else r for r in root]
+    return sorted(min(rows[i][0] for i in range(len(rows)) if root[i] == r) for r in set(root))
+
+
+def test_near_copies_are_those_of_exact_similarity(spark, documents, monkeypatch):
+    draw = random.Random(11)
+    words = ["".join(draw.choice("abcdefgh") for _ in range(6)) for _ in range(400)]
+    rows = []
+    for group in range(30):  # copies on either side of 0.8: a changed word costs up to five shingles of 116
+        base = [draw.choice(words) for _ in range(120)]
+        for edits in (0, 1, 2, 2, 3, 3, 4, 5):
+            body = list(base)
+            for k in draw.sample(range(120), edits):
+                body[k] = draw.choice(words)
+            rows.append((len(rows), " ".join(body)))
+    form = [draw.choice(words) for _ in range(40)]
+    rows += [(1000 + i, " ".join([*form, *(str(draw.randrange(10)) for _ in range(6)), *form[:9]])) for i in range(60)]  # one set of long words
+    monkeypatch.setattr(shingles, "BLOCK", 8)
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert ids(kept) == brute_kept(rows)
+    given = [(r["doc_id"], r["text"] or "") for r in documents.collect()]
+    assert ids(simhash.keep_one(documents)) == brute_kept(given)
+
+
 # byte pairs
 
 def test_bpe_is_that_of_the_library(spark, documents, odd, nothing):
