@@ -132,7 +132,7 @@ def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def _clusters(prints, proofs, max_bits, max_proof, wild):
+def _clusters(prints, max_bits, wild):
     """Labels (index of the smallest member) of the clusters among the rows of one variant."""
     apart = prints[:, None] ^ prints[None, :]
     near = np.bitwise_count(apart) <= max_bits
@@ -140,9 +140,6 @@ def _clusters(prints, proofs, max_bits, max_proof, wild):
         bit, first, whole = wild
         differs = (apart >> np.uint64(bit) & np.uint64(1)).astype(bool)
         near &= differs | ((apart & np.uint64(whole)) == 0) if first else differs
-    if proofs is not None:
-        total = sum(np.bitwise_count(p[:, None] ^ p[None, :]).astype(np.int16) for p in proofs)
-        near &= total <= max_proof
     np.fill_diagonal(near, True)
     labels = np.arange(len(prints))
     while True:
@@ -153,9 +150,9 @@ def _clusters(prints, proofs, max_bits, max_proof, wild):
         labels = lowest
 
 
-def _solve(index: DataFrame, max_bits: int, proofs: list[str], max_proof: int, wilds: dict) -> DataFrame:
-    """Rows ``(mask, fp, node, *proofs)`` to ``(deeper, mask or 0, fp, node, other, *proofs)``: links and rows to cut further."""
-    columns = ["mask", "fp", "node", *proofs]
+def _solve(index: DataFrame, max_bits: int, wilds: dict) -> DataFrame:
+    """Rows ``(mask, fp, node)`` to ``(deeper, mask or 0, fp, node, other)``: links and rows to cut further."""
+    columns = ["mask", "fp", "node"]
     schema = T.StructType(
         [T.StructField("deeper", T.BooleanType()), *(T.StructField(c, T.LongType()) for c in (*columns, "other"))]
     )
@@ -171,14 +168,12 @@ def _solve(index: DataFrame, max_bits: int, proofs: list[str], max_proof: int, w
             yield from extend(table)
             return
         wild = wilds.get(mask)
-        # beyond the last cut only rows with one fingerprint and many proofs can be left: windows over them
-        order = np.lexsort(table[3:]) if n > BUCKET and proofs else np.arange(n)
+        # beyond the last cut every pair of blocks is compared
         step = BUCKET // 2 if n > BUCKET else n
-        for start in range(0, n, step):
-            part = table[:, order[start : start + 2 * step]]
-            labels = _clusters(
-                part[1].view(np.uint64), [p.view(np.uint64) for p in part[3:]] if proofs else None, max_bits, max_proof, wild
-            )
+        starts = range(0, n, step)
+        for i, j in [(i, j) for i in starts for j in starts if i < j] or [(0, n)]:
+            part = np.concatenate([table[:, i : i + step], table[:, j : j + step]], axis=1)
+            labels = _clusters(part[1].view(np.uint64), max_bits, wild)
             moved = np.flatnonzero(labels != np.arange(len(labels)))
             if len(moved):
                 yield rows_out(part[:, moved], False, part[2, labels[moved]])
@@ -194,8 +189,6 @@ def _solve(index: DataFrame, max_bits: int, proofs: list[str], max_proof: int, w
         x, y = table[:, a], table[:, a + 1]
         apart = (x[1] ^ y[1]).view(np.uint64)
         good = (np.bitwise_count(apart) <= max_bits) & (x[2] != y[2])
-        if proofs:
-            good &= sum(np.bitwise_count((x[k] ^ y[k]).view(np.uint64)).astype(np.int16) for k in range(3, len(columns))) <= max_proof
         if wilds:
             found, which = np.unique(x[0], return_inverse=True)
             rules = [wilds[int(m) & ALL] for m in found]
@@ -237,11 +230,11 @@ def _solve(index: DataFrame, max_bits: int, proofs: list[str], max_proof: int, w
     return ordered.select(*columns).mapInArrow(run, schema)
 
 
-def links(nodes: DataFrame, prints: Sequence[str], *, max_bits: int = 3, proofs: Sequence[str] = (), max_proof: int = 0) -> DataFrame:
+def links(nodes: DataFrame, prints: Sequence[str], *, max_bits: int = 3) -> DataFrame:
     """``(node, other)``: links that join all nodes within reach of each other, each verified.
 
-    ``nodes`` has one row per distinct ``node`` with a fingerprint in each of the columns ``prints``; nodes are linked if one of
-    these differs in at most ``max_bits`` bits and, with ``proofs``, those differ in at most ``max_proof`` bits together.
+    ``nodes`` has one row per distinct ``node`` with a fingerprint in each of the columns ``prints``, and no two nodes have all the
+    same ones; nodes are linked if one of these differs in at most ``max_bits`` bits.
     """
     masks = variants(segments(max_bits))
     widths = {m: ((1 << w) - 1) << f for f, w in segments(max_bits) for m in variants([(f, w)])}
@@ -249,15 +242,15 @@ def links(nodes: DataFrame, prints: Sequence[str], *, max_bits: int = 3, proofs:
     fixed = F.array(*(F.lit(_signed(m)) for m in masks))
     index = None
     for name in prints:
-        one = nodes.select(F.explode(fixed).alias("mask"), F.col(name).alias("fp"), "node", *proofs)
+        one = nodes.select(F.explode(fixed).alias("mask"), F.col(name).alias("fp"), "node")
         index = one if index is None else index.unionByName(one)
     found = None
     while True:
-        solved = materialize(_solve(index, max_bits, list(proofs), max_proof, wilds))
+        solved = materialize(_solve(index, max_bits, wilds))
         wilds = {}
         good = solved.filter("not deeper").select("node", "other")
         found = good if found is None else found.unionByName(good)
-        index = solved.filter("deeper").select("mask", "fp", "node", *proofs)
+        index = solved.filter("deeper").select("mask", "fp", "node")
         if index.isEmpty():
             return found
 

@@ -307,6 +307,35 @@ def test_near_copies_are_those_of_exact_similarity(spark, documents, monkeypatch
     assert ids(simhash.keep_one(documents)) == brute_kept(given)
 
 
+def test_rows_beyond_the_last_cut_are_all_compared(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BUCKET", 4)
+    monkeypatch.setattr(simhash, "deeper", lambda mask, max_bits: [])
+    draw = random.Random(5)
+    bases = [draw.getrandbits(29) for _ in range(20)]
+    prints = sorted([*bases, *(x | 7 << 29 for x in bases)])  # equal in the upper half; partners are far apart in order
+    nodes = spark.createDataFrame([(x, x) for x in prints], "node long, fp long")
+    roots = {r["node"]: r["root"] for r in simhash.connected_components(simhash.links(nodes, ["fp"])).collect()}
+    expected = brute_components(prints)
+    assert [roots.get(x, x) for x in prints] == [prints[k] for k in expected]
+
+
+def test_one_candidate_fingerprint_with_many_texts(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BUCKET", 4)
+    monkeypatch.setattr(shingles, "BLOCK", 8)
+    draw = random.Random(6)
+    long = ["common", "letters", "without", "numbers"] * 2
+    bases = [[str(draw.randrange(1000)) for _ in range(60)] for _ in range(15)]
+    rows = []
+    for base in bases:
+        for _ in range(4):
+            body = list(base)
+            body[draw.randrange(60)] = str(draw.randrange(1000))
+            rows.append((len(rows), " ".join(long + body)))
+    draw.shuffle(rows)
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert ids(kept) == brute_kept(rows)
+
+
 # byte pairs
 
 def test_bpe_is_that_of_the_library(spark, documents, odd, nothing):
