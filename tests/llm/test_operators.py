@@ -104,6 +104,21 @@ def test_templates_find_other_values(spark, odd, nothing):
     assert ids(decontaminate.drop_contaminated(odd, asked.limit(0))) == ALL_IDS
 
 
+def test_names_that_begin_a_sentence_are_slots(spark):
+    asked = spark.createDataFrame(
+        [(1, "Tom has 12 apples. Anna has 7 apples. How many more apples does Tom have than Anna?")], "item_id long, text string")
+    docs = spark.createDataFrame(
+        [(1, "Tom has 12 apples. Anna has 7 apples. How many more apples does Tom have than Anna?"),
+         (2, "Lisa has 30 apples. Paul has 9 apples. How many more apples does Lisa have than Paul?"),
+         (3, "He asked:\n\u201cLisa has 30 apples. (Paul has 9 apples.) How many more apples does Lisa have than Paul?\u201d"),
+         (4, "Lisa has 30 apples. Paul has 9 apples. How many more apples does Paul have than Lisa?"),
+         (5, "Lisa has 30 pears and Paul likes 9 of them. How many does Lisa have?"), (None, None)], "doc_id long, text string")
+    found = {r["doc_id"]: (r["coverage"], r["slots_changed"]) for r in decontaminate.matches(docs, asked).collect()}
+    assert found == {1: (1.0, 0), 2: (1.0, 4), 3: (1.0, 4)}  # in 4 the names are exchanged
+    left = {r["doc_id"] for r in decontaminate.drop_contaminated(docs, asked).collect()}
+    assert left == {4, 5, None}
+
+
 # toxicity
 
 def test_marginals_are_those_of_all_labelings(monkeypatch):
