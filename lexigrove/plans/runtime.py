@@ -49,11 +49,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 _scopes: list[list[str]] = []
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a written table in the shared checkpoint folder."""
+def scratch_path(spark: SparkSession, name: str, *, outlive: bool = False) -> str:
+    """A fresh path for a written table in the shared checkpoint folder; ``outlive`` leaves it to the scope around this one."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    if _scopes:
-        _scopes[-1].append(path)
+    scopes = _scopes[:-1] if outlive else _scopes
+    if scopes:
+        scopes[-1].append(path)
     return path
 
 
@@ -75,13 +76,14 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
             place.getFileSystem(conf).delete(place, True)
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, *, outlive: bool = False) -> DataFrame:
     """Compute once into a table of the shared folder, from which later plans read their columns only.
 
-    The table outlives lost executors, and its size is known to the planner.
+    The table outlives lost executors, and its size is known to the planner. With ``outlive`` it also outlives the
+    scratch scope it is computed in, as a result of steps that end there must.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, "stored")
+    path = scratch_path(spark, "stored", outlive=outlive)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
