@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lexigrove.llm.oracles import LLM_ORACLES
-from lexigrove.llm import bpe, decontaminate, fuzzyhash, langid, pii, quality, shards, simhash, toxicity, urls
+from lexigrove.llm import bpe, collocations, decontaminate, divergence, fuzzyhash, langid, packing, pii, quality, shards, simhash, toxicity, urls
 
 URL_RULES = [
     urls.Rule(urls.ALLOW, "org/"),
@@ -20,6 +20,8 @@ URL_RULES = [
 #: Key of the surrogates in the registered query; a real run takes its own.
 PII_KEY = "registered-query"
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+#: Vocabulary of the packed sequences, and the id that ends a document.
+PACKED, END = public_tokenizers.path("byte_bpe_50k.json"), 2
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,6 +105,21 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace_entities(docs, PII_KEY).withColumn("n_entities", F.size("entities").cast("long"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every source against each other source of its language, and the terms it uses more than the language does."""
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's first 2,000 phrases of two to four words."""
+    return collocations.mine(_table(spark, sf_dir, "documents"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces of sequences of 1,024 tokens."""
+    return packing.pack(_table(spark, sf_dir, "documents"), PACKED, END)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shards": op1_shards,
     "op2_decontaminate": op2_decontaminate,
@@ -114,6 +131,9 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_urls": op9_urls,
     "op10_pii": op10_pii,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_collocations": op12_collocations,
+    "op13_packing": op13_packing,
 }
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]

@@ -25,6 +25,13 @@ def _windows(table: str, key: str) -> str:
    WHERE len(list_filter(template[pos : pos + {WINDOW - 1}], lambda t: NOT (t {holds}))) >= {MIN_PLAIN})"""
 
 
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+def _share(count: str, total: str, terms: str) -> str:
+    return f"1 + (1000000000::HUGEINT * ({count} + 5)) // ({total} + 5 * {terms})"
+
+
 LLM_ORACLES: dict[str, str] = {
     "op2_decontaminate": f"""
 WITH asked AS {_windows('benchmark', 'item_id')}, ours AS {_windows('documents', 'doc_id')},
@@ -45,4 +52,35 @@ found AS (SELECT f.doc_id, f.text, f.item_id, f.item_text, count(DISTINCT item_p
 SELECT doc_id, item_id, windows, item_windows, windows::DOUBLE / item_windows AS coverage, slots_changed
 FROM found JOIN best USING (doc_id, text, item_id, item_text) JOIN sizes USING (item_id, item_text)
 WHERE windows::DOUBLE / item_windows >= {COVERAGE}""",
+    "op11_source_divergence": rf"""
+WITH docs AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, translate(coalesce(text, ''), {_LOWER}) AS body FROM documents),
+word AS (SELECT id, lang, source, unnest(regexp_extract_all(body, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term FROM word GROUP BY lang, term HAVING count(DISTINCT id) >= 30),
+grp AS (SELECT DISTINCT lang, source FROM docs),
+occ AS (SELECT lang, source, term, count(*) AS n FROM word JOIN kept USING (lang, term) GROUP BY ALL),
+size AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+cell AS (SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n FROM grp g JOIN kept k USING (lang) LEFT JOIN occ USING (lang, source, term)),
+p AS (SELECT lang, source, term, n, {_share("n", "sum(n) OVER (PARTITION BY lang, source)", "v")} AS p FROM cell JOIN size USING (lang)),
+q AS (SELECT lang, term, {_share("n", "sum(n) OVER (PARTITION BY lang)", "v")} AS q FROM (SELECT lang, term, sum(n) AS n FROM cell GROUP BY ALL) JOIN size USING (lang)),
+gap AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pair AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN gap g ON g.lang = a.lang AND g.source = a.source AND g.item = b.source),
+used AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (FROM pair UNION ALL FROM used))
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 50""",
+    "op12_collocations": rf"""
+WITH docs AS (SELECT coalesce(lang, 'und') AS lang, regexp_split_to_array(translate(coalesce(text, ''), {_LOWER}), '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+piece AS (SELECT lang, regexp_extract_all(unnest(pieces), '[^\x20\x09]+') AS words FROM docs),
+held AS (SELECT lang, words FROM piece WHERE len(words) > 0),
+gram AS (SELECT lang, m, unnest([words[i : i + m - 1] for i in range(1, len(words) - m + 2)]) AS words FROM held, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE m <= len(words)),
+f AS (SELECT lang, m, words, count(*) AS f FROM gram GROUP BY ALL HAVING count(*) >= 30),
+total AS (SELECT lang, sum(len(words))::BIGINT AS n FROM held GROUP BY lang),
+cut AS (SELECT c.lang, c.words, c.f AS a, l.f AS l, r.f AS r, (2000000::HUGEINT * c.f) // (l.f + r.f) AS score, l.m AS k
+  FROM f c JOIN f l ON l.lang = c.lang AND l.m < c.m AND l.words = c.words[1 : l.m] JOIN f r ON r.lang = c.lang AND r.m = c.m - l.m AND r.words = c.words[l.m + 1 : c.m]),
+weak AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1),
+sub AS (SELECT lang, f, words[i : i + m - 1] AS words FROM (SELECT lang, f, words, unnest(range(1, t.m - s.m + 2)) AS i, s.m FROM f t JOIN (SELECT unnest([2, 3]) AS m) s ON s.m < t.m)),
+inside AS (SELECT lang, words, max(f) AS longer FROM sub GROUP BY ALL),
+listed AS (SELECT lang, array_to_string(words, ' ') AS phrase, a, l, r, score FROM weak LEFT JOIN inside USING (lang, words) WHERE longer IS NULL OR 100 * longer < 80 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM listed JOIN total USING (lang) QUALIFY rank <= 2000""",
 }
