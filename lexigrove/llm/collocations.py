@@ -6,9 +6,10 @@ containers below. When the trie holds ``MOST_ENTRIES``, its largest subtrees lea
 phrase. Runs are dealt by the prefix (the first two words) and merged there, so a phrase has one sum; a prefix brings one
 row for a phrase and run, however often it occurs.
 
-There are three passes over the texts. Words are counted first, then pairs of words that are frequent enough, then
-phrases of three and four words all of whose pairs are. What is frequent reaches the tasks as a sieve of bounded size
-(``wordstream.Sieve``), which may let other words through but never stops one; the sums decide, so counts are exact.
+There are three passes over the texts. Words are counted first. Then pairs of words that are frequent enough are counted by
+hash, which can only give a pair too many occurrences. The third pass fills the trie with phrases all of whose words and
+pairs may be frequent. What may be frequent reaches the tasks as a sieve of bounded size (``wordstream.Sieve``), which lets some others
+through but never stops one; the trie's sums decide, so counts are exact.
 
 Words are runs without blank and tab inside pieces between ``.,;:!?`` and line ends, with A-Z lower-cased. Overlapping
 occurrences count. A phrase is a candidate from ``least`` occurrences; its weakest cut into two parts gives
@@ -25,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -38,6 +40,8 @@ ABSORBED = (80, 100)
 BURST, MOST_ENTRIES = 4096, 400_000
 #: Word numbers have so many bits, so three of them fit into one key.
 ID_BITS = 21
+#: Occurrences of pairs that are put together at a time.
+MOST_PAIRS = 2_000_000
 #: Known words of a task, frequent or not, before trie and numbers start anew.
 MOST_WORDS_KNOWN = 500_000
 #: Words that are read at a time, with the next three behind them; known and new words together have numbers below ``2**ID_BITS``.
@@ -45,7 +49,9 @@ CHUNK = 1 << 19
 
 _BREAK = b"\xff"  # no byte of UTF-8
 _BYTES = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\n\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + _BREAK * 10 + b" ")
-_RUN = "lang string, prefix string, phrase string, n long"
+_RUN, _NAMES = "lang string, prefix string, phrase string, n long", ["lang", "prefix", "phrase", "n"]
+#: Bits of a pair's hash that are sent; more than a sieve looks at.
+_PAIR_MASK = np.uint64((1 << 40) - 1)
 
 
 def split_words(texts: list[bytes]) -> list[bytes]:
@@ -56,23 +62,46 @@ def split_words(texts: list[bytes]) -> list[bytes]:
 class _Words(dict):
     """Numbers of the words of one language from 1; 0 for a break or a word that the sieve stops."""
 
-    def __init__(self, owner: PhraseCounter, lang: str):
+    def __init__(self, owner: Vocabulary, lang: str):
         self.owner, self.seed = owner, seeded(lang)
         self[_BREAK] = 0
 
     def __missing__(self, word: bytes) -> int:
         owner = self.owner
-        hashed = np.uint64(xxhash.xxh64_intdigest(word, seed=self.seed))
+        hashed = xxhash.xxh64_intdigest(word, seed=self.seed)
         number = 0
-        if owner.words.passes(hashed):
+        if owner.sieve.holds(hashed):
+            number = len(owner.names)
             owner.names.append(word)
             owner.hashes.append(hashed)
-            number = len(owner.names) - 1
         self[word] = number
         owner.known += 1
         return number
 
 
+class Vocabulary:
+    """The words of all languages that a task met and that pass the sieve: name, hash and language by number."""
+
+    def __init__(self, sieve: Sieve):
+        self.sieve, self.by_lang, self.known = sieve, {}, 0
+        self.names, self.hashes, self.langs = [b""], [0], [""]
+
+    def chunks(self, lang: str, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Numbers of the words and hashes by number, a chunk at a time with the next words behind it."""
+        words = split_words(texts)
+        for start in range(0, len(words), CHUNK):
+            known = self.by_lang.get(lang)
+            if known is None:
+                known = self.by_lang[lang] = _Words(self, lang)
+            part = words[start : start + CHUNK + MOST_WORDS - 1]
+            ids = np.fromiter(map(known.__getitem__, part), np.int64, len(part))
+            self.langs += [lang] * (len(self.names) - len(self.langs))
+            yield ids, np.array(self.hashes, np.uint64)[ids]
+
+    def forget(self) -> None:
+        self.__init__(self.sieve)
+
+
 class HatTrie:
     """Counts of phrases of word numbers: nodes by word above, hash containers by the packed rest below.
 
@@ -150,50 +179,36 @@ class HatTrie:
 
 
 class PhraseCounter:
-    """A task's trie over the words that pass a sieve; yields sorted runs when it is full."""
+    """A task's trie over what passes the sieves; yields sorted runs when it is full."""
 
-    def __init__(self, words: Sieve, pairs: Sieve | None, most_entries: int, burst: int):
-        self.words, self.pairs, self.most, self.burst = words, pairs, most_entries, burst
-        self._start()
-
-    def _start(self) -> None:
-        self.trie, self.by_lang = HatTrie(self.burst), {}
-        self.names, self.hashes, self.langs, self.known = [b""], [np.uint64(0)], [], 0
+    def __init__(self, words: Sieve, pairs: Sieve, most_entries: int, burst: int):
+        self.words, self.pairs, self.most = Vocabulary(words), pairs, most_entries
+        self.trie = HatTrie(burst)
 
     def read(self, lang: str, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
-        words = split_words(texts)
-        for start in range(0, len(words), CHUNK):
-            known = self.by_lang.get(lang)
-            if known is None:
-                known = self.by_lang[lang] = _Words(self, lang)
-            part = words[start : start + CHUNK + MOST_WORDS - 1]
-            ids = np.fromiter(map(known.__getitem__, part), np.int64, len(part))
-            self.langs += [lang] * (len(self.names) - 1 - len(self.langs))
-            for first, key in self._phrases(ids):
+        for ids, hashes in self.words.chunks(lang, texts):
+            for first, key in self._phrases(ids, hashes):
                 self._insert(first, key)
             if len(self.trie) > self.most:
                 yield from self._spill(self.most // 2)
-            if self.known > MOST_WORDS_KNOWN:
+            if self.words.known > MOST_WORDS_KNOWN:
                 yield from self._spill(0)
-                self._start()
-
-    def _phrases(self, ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Occurrences of pairs, or where there is a sieve of pairs those of three and four words, that begin in the chunk."""
-        pair = (ids[:-1] > 0) & (ids[1:] > 0)
-        if self.pairs is None:
-            two = np.flatnonzero(pair[:CHUNK])
-            yield ids[two], ids[two + 1] << 2 * ID_BITS
-            return
-        hashes = np.array(self.hashes)[ids]
-        pair &= self.pairs.passes(_pair_hash(hashes[:-1], hashes[1:]))
-        three = np.flatnonzero(pair[:-1] & pair[1:])
-        longer = np.zeros(len(three), bool)
-        longer[:-1] = three[1:] == three[:-1] + 1
-        inside = three < CHUNK
-        three, longer = three[inside], longer[inside]
-        key = ids[three + 1] << 2 * ID_BITS | ids[three + 2] << ID_BITS
-        yield ids[three], key
-        yield ids[three[longer]], key[longer] | ids[three[longer] + 3]
+                self.words.forget()
+
+    def _phrases(self, ids: np.ndarray, hashes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Occurrences of two, three and four words that begin in the chunk: the first word and the key of the others."""
+        pair = _pairs(ids)
+        pair[pair] = self.pairs.passes(_pair_hash(hashes[:-1][pair], hashes[1:][pair]))
+        at = np.flatnonzero(pair)
+        key, whole = ids[at + 1] << 2 * ID_BITS, at
+        yield ids[whole[whole < CHUNK]], key[whole < CHUNK]
+        for more in (1, 2):
+            follows = np.searchsorted(at, whole + more)
+            longer = follows < len(at)
+            longer[longer] = at[follows[longer]] == whole[longer] + more
+            whole, key = whole[longer], key[longer]
+            key = key | ids[whole + more + 1] << (2 - more) * ID_BITS
+            yield ids[whole[whole < CHUNK]], key[whole < CHUNK]
 
     def _insert(self, first: np.ndarray, key: np.ndarray) -> None:
         """Add occurrences, equal ones at once."""
@@ -210,35 +225,68 @@ class PhraseCounter:
             self.trie.add(word, keys[a:b], counts[a:b])
 
     def _spill(self, room: int) -> Iterator[pa.RecordBatch]:
-        names, mask = self.names, (1 << ID_BITS) - 1
-        run = []
+        firsts, keys, counts = [], [], []
         for first, entries in self.trie.take(room):
-            lang, head = self.langs[first - 1], names[first]
+            firsts += [first] * len(entries)
             for key, n in entries:
-                phrase = prefix = head + b" " + names[key >> 2 * ID_BITS]
-                for rest in (key >> ID_BITS & mask, key & mask):
-                    if rest:
-                        phrase += b" " + names[rest]
-                run.append((lang, prefix, phrase, n))
-        run.sort(key=lambda r: (r[0], r[2]))
-        yield from _batches(run)
+                keys.append(key)
+                counts.append(n)
+        if not keys:
+            return
+        names, key, mask = self.words.names, np.array(keys, np.int64), (1 << ID_BITS) - 1
+        order = sorted(range(len(names)), key=names.__getitem__)  # a number's place among the words
+        place = np.empty(len(names), np.int64)
+        place[order] = np.arange(len(names))
+        parts = [np.array(firsts), key >> 2 * ID_BITS, key >> ID_BITS & mask, key & mask]
+        run = np.lexsort([place[p] for p in reversed(parts)])
+        names, langs, counts = pa.array(names, pa.binary()), pa.array(self.words.langs), np.array(counts, np.int64)
+        for start in range(0, len(run), 50_000):
+            rows = run[start : start + 50_000]
+            first, *rest = (names.take(pa.array(p[rows])) for p in parts)
+            prefix = pc.binary_join_element_wise(first, rest[0], b" ")
+            phrase = prefix
+            for more, part in zip(rest[1:], parts[2:], strict=True):
+                phrase = pc.if_else(pa.array(part[rows] > 0), pc.binary_join_element_wise(phrase, more, b" "), phrase)
+            yield pa.RecordBatch.from_arrays(
+                [langs.take(pa.array(parts[0][rows])), prefix.cast(pa.string()), phrase.cast(pa.string()), pa.array(counts[rows])], _NAMES)
 
     def rest(self) -> Iterator[pa.RecordBatch]:
         yield from self._spill(0)
 
 
-def _batches(run: list[tuple[str, bytes, bytes, int]]) -> Iterator[pa.RecordBatch]:
-    for start in range(0, len(run), 50_000):
-        lang, prefix, phrase, n = zip(*run[start : start + 50_000], strict=True)
-        yield pa.RecordBatch.from_arrays([
-            pa.array(lang), pa.array(prefix, pa.binary()).cast(pa.string()), pa.array(phrase, pa.binary()).cast(pa.string()), pa.array(n, pa.int64()),
-        ], ["lang", "prefix", "phrase", "n"])
+def _pairs(ids: np.ndarray) -> np.ndarray:
+    """Where a word and the next one both have numbers."""
+    return (ids[:-1] > 0) & (ids[1:] > 0)
 
 
 def _pair_hash(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return left ^ (right << np.uint64(21) | right >> np.uint64(43))
 
 
+def _count_pairs(batches: Iterator[pa.RecordBatch], words: Sieve) -> Iterator[pa.RecordBatch]:
+    """Hashes of pairs of words that pass the sieve, as sorted runs of ``(hash, n)``."""
+    known = Vocabulary(words)
+    held: list[np.ndarray] = []
+
+    def run() -> Iterator[pa.RecordBatch]:
+        found, n = np.unique(np.concatenate([np.empty(0, np.int64), *held]), return_counts=True)
+        held.clear()
+        for start in range(0, len(found), 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array(found[start : start + 50_000]), pa.array(n[start : start + 50_000])], ["hash", "n"])
+
+    for part in slices(batches, "text"):
+        for lang, texts in _by_lang(part).items():
+            for ids, hashes in known.chunks(lang, texts):
+                pair = _pairs(ids)
+                pair[CHUNK:] = False
+                held.append((_pair_hash(hashes[:-1][pair], hashes[1:][pair]) & _PAIR_MASK).astype(np.int64))
+        if sum(map(len, held)) > MOST_PAIRS:
+            yield from run()
+        if known.known > MOST_WORDS_KNOWN:
+            known.forget()
+    yield from run()
+
+
 def _by_lang(part: pa.RecordBatch) -> dict[str, list[bytes]]:
     found: dict[str, list[bytes]] = {}
     for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
@@ -247,17 +295,24 @@ def _by_lang(part: pa.RecordBatch) -> dict[str, list[bytes]]:
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words have no inner nodes: one container, spilled whole."""
+    """Single words have no inner nodes: one container a language, spilled whole."""
     counts: dict[str, Counter] = {}
-    def run():
-        return _batches(sorted((lang, word, word, n) for lang, found in counts.items() for word, n in found.items()))
+
+    def run() -> Iterator[pa.RecordBatch]:
+        for lang, found in counts.items():
+            words = sorted(found)
+            for start in range(0, len(words), 50_000):
+                part = words[start : start + 50_000]
+                names, n = pa.array(part, pa.binary()).cast(pa.string()), pa.array([found[w] for w in part], pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part), pa.string()), names, names, n], _NAMES)
+        counts.clear()
+
     for part in slices(batches, "text"):
         for lang, texts in _by_lang(part).items():
             counts.setdefault(lang, Counter()).update(split_words(texts))
             counts[lang].pop(_BREAK, None)
         if sum(map(len, counts.values())) > MOST_ENTRIES:
             yield from run()
-            counts.clear()
     yield from run()
 
 
@@ -266,21 +321,6 @@ def _merged(runs: DataFrame) -> DataFrame:
     return runs.repartition("lang", "prefix").groupBy("lang", "prefix", "phrase").agg(F.sum("n").alias("n"))
 
 
-def _word_hash(word: Column) -> Column:
-    return F.xxhash64("lang", word)
-
-
-def _counted(docs: DataFrame, words, pairs, most_entries: int, burst: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PhraseCounter(Sieve(words.value), pairs and Sieve(pairs.value), most_entries, burst)
-        for part in slices(batches, "text"):
-            for lang, texts in _by_lang(part).items():
-                yield from counter.read(lang, texts)
-        yield from counter.rest()
-
-    return _merged(docs.mapInArrow(run, _RUN))
-
-
 def phrase_counts(
     docs: DataFrame, *, text: str = "text", lang: str = "lang", least: int = LEAST, most_entries: int = MOST_ENTRIES, burst: int = BURST
 ) -> tuple[DataFrame, DataFrame]:
@@ -289,19 +329,27 @@ def phrase_counts(
     Runs jobs when called; both are stored tables.
     """
     body = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("string").alias("text"))
-    words = materialize(_merged(body.mapInArrow(_count_words, _RUN)))
+    words = materialize(_merged(body.mapInArrow(_count_words, _RUN)).select("lang", "phrase", "n"))
     totals = materialize(words.groupBy("lang").agg(F.sum("n").alias("total")))
-    frequent = materialize(words.filter(F.col("n") >= least).select("lang", "phrase", "n", _word_hash(F.col("phrase")).alias("hash")))
-    word_sieve = build_sieve(frequent, "hash", frequent.count())
-    pairs = materialize(_counted(body, word_sieve, None, most_entries, burst).filter(F.col("n") >= least))
-    left, right = (_word_hash(F.get(F.split("phrase", " "), F.lit(k))) for k in (0, 1))
-    # as _pair_hash: the right hash turned by 21 bits
-    turned = F.shiftleft(right, 21).bitwiseOR(F.shiftrightunsigned(right, 43))
-    hashed = pairs.select(left.bitwiseXOR(turned).alias("hash"))
-    pair_sieve = build_sieve(hashed, "hash", pairs.count())
-    longer = _counted(body, word_sieve, pair_sieve, most_entries, burst).filter(F.col("n") >= least)
-    counts = frequent.select("lang", "phrase", "n").unionByName(pairs.select("lang", "phrase", "n")).unionByName(longer.select("lang", "phrase", "n"))
-    return materialize(counts.withColumn("words", F.size(F.split("phrase", " ")))), totals
+    single = words.filter(F.col("n") >= least)
+    word_sieve = build_sieve(single.select(F.xxhash64("lang", "phrase").alias("hash")), "hash", single.count())
+
+    def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _count_pairs(batches, Sieve(word_sieve.value))
+
+    hashed = body.mapInArrow(count_pairs, "hash long, n long").repartition("hash").groupBy("hash").agg(F.sum("n").alias("n"))
+    hashed = materialize(hashed.filter(F.col("n") >= least).select("hash"))
+    pair_sieve = build_sieve(hashed, "hash", hashed.count())
+
+    def count_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = PhraseCounter(Sieve(word_sieve.value), Sieve(pair_sieve.value), most_entries, burst)
+        for part in slices(batches, "text"):
+            for name, texts in _by_lang(part).items():
+                yield from counter.read(name, texts)
+        yield from counter.rest()
+
+    longer = _merged(body.mapInArrow(count_phrases, _RUN)).filter(F.col("n") >= least).select("lang", "phrase", "n")
+    return materialize(single.unionByName(longer).withColumn("words", F.size(F.split("phrase", " ")))), totals
 
 
 def _part(first: Column, length: Column) -> Column:

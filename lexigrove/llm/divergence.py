@@ -93,7 +93,7 @@ def _occurrences(body: DataFrame, sieve) -> DataFrame:
                 self.seed = seeded(lang)
 
             def __missing__(self, term: bytes) -> bool:
-                passes = self[term] = bool(kept.passes(np.uint64(xxhash.xxh64_intdigest(term, seed=self.seed))))
+                passes = self[term] = kept.holds(xxhash.xxh64_intdigest(term, seed=self.seed))
                 return passes
 
         for part in slices(batches, "text"):

@@ -12,7 +12,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 #: Bytes of text that are split into words at a time, longer single texts apart.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 22
 #: Bits of the largest sieve (8 MB); with more keys it lets more through, which exact counts sort out afterwards.
 MOST_BITS = 1 << 26
 #: Spark's seed of XXH64.
@@ -40,6 +40,12 @@ class Sieve:
     def __init__(self, bits: np.ndarray):
         self.bits, self.mask = bits, np.uint64(len(bits) * 64 - 1)
 
+        self.as_bytes, self.last = bits.astype("<u8").tobytes(), len(bits) * 64 - 1
+
+    def holds(self, hashed: int) -> bool:
+        place = hashed & self.last
+        return bool(self.as_bytes[place >> 3] >> (place & 7) & 1)
+
     def passes(self, hashes: np.ndarray) -> np.ndarray:
         place = hashes & self.mask
         return (self.bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) != 0
