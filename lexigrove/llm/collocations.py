@@ -49,7 +49,11 @@ CHUNK = 1 << 19
 
 _BREAK = b"\xff"  # no byte of UTF-8
 _BYTES = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\n\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + _BREAK * 10 + b" ")
-_RUN, _NAMES = "lang string, prefix string, phrase string, n long", ["lang", "prefix", "phrase", "n"]
+_RUN, _NAMES = "lang string, part int, phrases array<string>, counts array<long>", ["lang", "part", "phrases", "counts"]
+#: Prefix partitions of a language: one for so many frequent pairs, within these bounds.
+PAIRS_EACH, FEWEST_PARTS, MOST_PARTS = 4096, 64, 1 << 16
+#: Phrases that a merging task gathers before it adds them up again.
+MERGED_ROWS = 500_000
 #: Bits of a pair's hash that are sent; more than a sieve looks at.
 _PAIR_MASK = np.uint64((1 << 40) - 1)
 
@@ -181,8 +185,8 @@ class HatTrie:
 class PhraseCounter:
     """A task's trie over what passes the sieves; yields sorted runs when it is full."""
 
-    def __init__(self, words: Sieve, pairs: Sieve, most_entries: int, burst: int):
-        self.words, self.pairs, self.most = Vocabulary(words), pairs, most_entries
+    def __init__(self, words: Sieve, pairs: Sieve, parts: int, most_entries: int, burst: int):
+        self.words, self.pairs, self.parts, self.most = Vocabulary(words), pairs, parts, most_entries
         self.trie = HatTrie(burst)
 
     def read(self, lang: str, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
@@ -237,18 +241,23 @@ class PhraseCounter:
         order = sorted(range(len(names)), key=names.__getitem__)  # a number's place among the words
         place = np.empty(len(names), np.int64)
         place[order] = np.arange(len(names))
-        parts = [np.array(firsts), key >> 2 * ID_BITS, key >> ID_BITS & mask, key & mask]
-        run = np.lexsort([place[p] for p in reversed(parts)])
-        names, langs, counts = pa.array(names, pa.binary()), pa.array(self.words.langs), np.array(counts, np.int64)
-        for start in range(0, len(run), 50_000):
-            rows = run[start : start + 50_000]
-            first, *rest = (names.take(pa.array(p[rows])) for p in parts)
-            prefix = pc.binary_join_element_wise(first, rest[0], b" ")
-            phrase = prefix
-            for more, part in zip(rest[1:], parts[2:], strict=True):
-                phrase = pc.if_else(pa.array(part[rows] > 0), pc.binary_join_element_wise(phrase, more, b" "), phrase)
-            yield pa.RecordBatch.from_arrays(
-                [langs.take(pa.array(parts[0][rows])), prefix.cast(pa.string()), phrase.cast(pa.string()), pa.array(counts[rows])], _NAMES)
+        words = [np.array(firsts), key >> 2 * ID_BITS, key >> ID_BITS & mask, key & mask]
+        hashes = np.array(self.words.hashes, np.uint64)
+        part = (_pair_hash(hashes[words[0]], hashes[words[1]]) % np.uint64(self.parts)).astype(np.int32)
+        codes, langs = np.unique(np.array(self.words.langs, object), return_inverse=True)[::-1]
+        lang = codes[words[0]]
+        run = np.lexsort([*(place[w] for w in reversed(words)), part, lang])
+        lang, part, counts = lang[run], part[run], np.array(counts, np.int64)[run]
+        names = pa.array(names, pa.binary())
+        first, *rest = (names.take(pa.array(w[run])) for w in words)
+        phrase = pc.binary_join_element_wise(first, rest[0], b" ")
+        for more, word in zip(rest[1:], words[2:], strict=True):
+            phrase = pc.if_else(pa.array(word[run] > 0), pc.binary_join_element_wise(phrase, more, b" "), phrase)
+        starts = np.flatnonzero(np.r_[True, (lang[1:] != lang[:-1]) | (part[1:] != part[:-1])])
+        ends = pa.array(np.r_[starts, len(run)].astype(np.int32))
+        yield pa.RecordBatch.from_arrays([
+            pa.array(langs[lang[starts]], pa.string()), pa.array(part[starts]),
+            pa.ListArray.from_arrays(ends, phrase.cast(pa.string())), pa.ListArray.from_arrays(ends, pa.array(counts))], _NAMES)
 
     def rest(self) -> Iterator[pa.RecordBatch]:
         yield from self._spill(0)
@@ -304,7 +313,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for start in range(0, len(words), 50_000):
                 part = words[start : start + 50_000]
                 names, n = pa.array(part, pa.binary()).cast(pa.string()), pa.array([found[w] for w in part], pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part), pa.string()), names, names, n], _NAMES)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part), pa.string()), names, n], ["lang", "phrase", "n"])
         counts.clear()
 
     for part in slices(batches, "text"):
@@ -316,9 +325,29 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from run()
 
 
-def _merged(runs: DataFrame) -> DataFrame:
-    """Sums of the runs' phrases, merged where their prefix lies."""
-    return runs.repartition("lang", "prefix").groupBy("lang", "prefix", "phrase").agg(F.sum("n").alias("n"))
+def _merged(runs: DataFrame, least: int) -> DataFrame:
+    """``(lang, phrase, n)`` with ``least`` occurrences: the runs of each prefix partition, merged as they arrive."""
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gathered: list[pa.Table] = []
+        bound, names = MERGED_ROWS, ["lang", "phrase", "n"]
+
+        def summed() -> pa.Table:
+            sums = pa.concat_tables(gathered).group_by(["lang", "phrase"], use_threads=False).aggregate([("n", "sum")])
+            return sums.rename_columns(names)
+
+        for batch in batches:
+            lists = batch.column("phrases")
+            lang = batch.column("lang").take(pc.list_parent_indices(lists))
+            gathered.append(pa.table([lang, pc.list_flatten(lists), pc.list_flatten(batch.column("counts"))], names))
+            if sum(t.num_rows for t in gathered) > bound:
+                gathered = [summed()]
+                bound = max(MERGED_ROWS, 2 * gathered[0].num_rows)
+        if gathered:
+            found = summed()
+            yield from found.filter(pc.greater_equal(found["n"], least)).to_batches(max_chunksize=50_000)
+
+    return runs.repartition("lang", "part").mapInArrow(merge, "lang string, phrase string, n long")
 
 
 def phrase_counts(
@@ -329,7 +358,8 @@ def phrase_counts(
     Runs jobs when called; both are stored tables.
     """
     body = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("string").alias("text"))
-    words = materialize(_merged(body.mapInArrow(_count_words, _RUN)).select("lang", "phrase", "n"))
+    words = body.mapInArrow(_count_words, "lang string, phrase string, n long").repartition("lang", "phrase")
+    words = materialize(words.groupBy("lang", "phrase").agg(F.sum("n").alias("n")))
     totals = materialize(words.groupBy("lang").agg(F.sum("n").alias("total")))
     single = words.filter(F.col("n") >= least)
     word_sieve = build_sieve(single.select(F.xxhash64("lang", "phrase").alias("hash")), "hash", single.count())
@@ -339,16 +369,18 @@ def phrase_counts(
 
     hashed = body.mapInArrow(count_pairs, "hash long, n long").repartition("hash").groupBy("hash").agg(F.sum("n").alias("n"))
     hashed = materialize(hashed.filter(F.col("n") >= least).select("hash"))
-    pair_sieve = build_sieve(hashed, "hash", hashed.count())
+    n_pairs = hashed.count()
+    pair_sieve = build_sieve(hashed, "hash", n_pairs)
+    parts = min(MOST_PARTS, max(FEWEST_PARTS, n_pairs // PAIRS_EACH))
 
     def count_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PhraseCounter(Sieve(word_sieve.value), Sieve(pair_sieve.value), most_entries, burst)
+        counter = PhraseCounter(Sieve(word_sieve.value), Sieve(pair_sieve.value), parts, most_entries, burst)
         for part in slices(batches, "text"):
             for name, texts in _by_lang(part).items():
                 yield from counter.read(name, texts)
         yield from counter.rest()
 
-    longer = _merged(body.mapInArrow(count_phrases, _RUN)).filter(F.col("n") >= least).select("lang", "phrase", "n")
+    longer = _merged(body.mapInArrow(count_phrases, _RUN), least)
     return materialize(single.unionByName(longer).withColumn("words", F.size(F.split("phrase", " ")))), totals
 
 
