@@ -1,20 +1,20 @@
 """Exact nearest vectors for a batch of queries, without forming query-item pairs as rows.
 
-Three physical forms, chosen by measured size:
+Two physical forms, chosen by measured size:
 
 * the items fit the broadcast bound (centroids): each batch of queries is answered in place,
   with no shuffle;
-* the queries fit the bound: they are broadcast, the items stream by once, each task keeps a
-  running best ``k`` per query, and only those rows are shuffled and ranked;
-* neither fits: both sides are cut into blocks of bounded size, every block pair is one
-  group, and again only the best ``k`` per query leave a block.
+* otherwise the queries are cut into blocks that fit the bound. One block is broadcast at a time, the items stream
+  by once for it, each task keeps a running best ``k`` per query, and only those lists are shuffled and merged. Items
+  never move.
 
-``key`` restricts a query to the items with the same key (cluster-aware search). A key that
-holds a large share of the items only means more blocks.
+``key`` restricts a query to the items with the same key (cluster-aware search). A key's queries share blocks, and a
+block reads the items of its keys only.
 """
 
 from __future__ import annotations
 
+import math
 from typing import NamedTuple
 
 import numpy as np
@@ -25,14 +25,16 @@ from lexigrove.plans.runtime import BROADCAST_BYTES, broadcast_if_small, materia
 
 # Cosines are compared at this precision, so that equal vectors tie whatever the summing order.
 COSINE_DIGITS = 9
-# Squared distances are compared at so many significant digits, for the same reason.
+# Squared distances are compared at so many significant digits, for the same reason; they are returned as they are.
 DISTANCE_DIGITS = 13
+#: What two distances that are equal at that precision may differ by.
+TIED = 10.0 ** (1 - DISTANCE_DIGITS)
 CHUNK_CELLS = 4_000_000
-TASKS_PER_CORE = 4
-ITEM_BLOCK_BYTES = 4 * BROADCAST_BYTES
+#: A key's queries are cut into so many parts of a block, from which blocks are put together.
+PARTS = 8
 
-_RESULT = "query_id long, item_id long, score double"
-_RESULT_ARROW = pa.schema([("query_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64())])
+_RESULT = "query_id long, item_id long, score double, settled double"
+_RESULT_ARROW = pa.schema([("query_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("settled", pa.float64())])
 
 
 class _Block(NamedTuple):
@@ -58,24 +60,27 @@ def _cosines(queries: np.ndarray, items: np.ndarray) -> np.ndarray:
     return np.round(scores, COSINE_DIGITS) + 0.0
 
 
-def _distances(queries: np.ndarray, items: np.ndarray, k: int, bound: np.ndarray) -> np.ndarray:
+def _distances(queries: np.ndarray, items: np.ndarray, k: int, bound: np.ndarray, inside: np.ndarray | None = None) -> np.ndarray:
     """Query by item matrix of squared distances; infinite where an item can't be among the best ``k``.
 
     The product form is fast and cancels; it only selects, by its error bound, the pairs that may be among the best ``k``
-    here and within ``bound`` (the best so far). Those are computed again as sums of squared gaps.
+    here and within ``bound`` (the best so far). Those are computed again as sums of squared gaps. ``inside`` marks the
+    pairs that count at all.
     """
     squares = (queries * queries).sum(axis=1)[:, None] + (items * items).sum(axis=1)[None, :]
     rough = squares - 2.0 * (queries @ items.T)
     error = squares * (4 * np.finfo(np.float64).eps * (queries.shape[1] + 4))
+    if inside is not None:
+        rough[~inside] = np.inf
     if len(items) > k:
         bound = np.minimum(bound, np.partition(rough + error, k - 1, axis=1)[:, k - 1])
-    rows, columns = np.nonzero(rough - error <= bound[:, None])
+    rows, columns = np.nonzero((rough - error <= (bound * (1 + TIED))[:, None]) & np.isfinite(rough))
     scores = np.full(rough.shape, np.inf)
     step = max(1, CHUNK_CELLS // max(1, queries.shape[1]))
     for start in range(0, len(rows), step):
         r, c = rows[start : start + step], columns[start : start + step]
         gaps = queries[r] - items[c]
-        scores[r, c] = _significant((gaps * gaps).sum(axis=1))
+        scores[r, c] = (gaps * gaps).sum(axis=1)
     return scores
 
 
@@ -88,38 +93,60 @@ def _significant(values: np.ndarray) -> np.ndarray:
 
 
 class _Best:
-    """Running best ``k`` (score, id) pairs per query; ties go to the smaller id."""
+    """Running best ``k`` per query, in the order of settled score and id; the scores themselves go along."""
 
-    def __init__(self, n_queries: int, k: int):
-        self.k = k
+    def __init__(self, n_queries: int, k: int, metric: str = "l2"):
+        self.k, self.metric = k, metric
         self.scores = np.full((n_queries, k), np.inf)
+        self.settled = np.full((n_queries, k), np.inf)
         self.ids = np.full((n_queries, k), -1, dtype=np.int64)
 
     def add(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
         k = self.k
-        scores = np.concatenate([self.scores[rows], np.where(np.isnan(scores), np.inf, scores)], axis=1)
-        kth = np.partition(scores, k - 1, axis=1)[:, k - 1 : k]
-        row, col = np.nonzero((scores <= kth) & np.isfinite(scores))
+        scores = np.where(np.isnan(scores), np.inf, scores)
+        settled = scores
+        if self.metric == "l2":
+            settled, known = scores.copy(), np.isfinite(scores)
+            settled[known] = _significant(scores[known])
+        scores = np.concatenate([self.scores[rows], scores], axis=1)
+        settled = np.concatenate([self.settled[rows], settled], axis=1)
+        kth = np.partition(settled, k - 1, axis=1)[:, k - 1 : k]
+        row, col = np.nonzero((settled <= kth) & np.isfinite(settled))
         known = np.concatenate([self.ids[rows], np.broadcast_to(ids, (len(rows), len(ids)))], axis=1)
-        value, found = scores[row, col], known[row, col]
-        order = np.lexsort((found, value, row))
-        row, value, found = row[order], value[order], found[order]
+        order = np.lexsort((known[row, col], settled[row, col], row))
+        row, col = row[order], col[order]
         place = np.arange(len(row)) - np.searchsorted(row, row, side="left")
-        kept = place < k
-        new_scores = np.full((len(rows), k), np.inf)
-        new_ids = np.full((len(rows), k), -1, dtype=np.int64)
-        new_scores[row[kept], place[kept]] = value[kept]
-        new_ids[row[kept], place[kept]] = found[kept]
-        self.scores[rows], self.ids[rows] = new_scores, new_ids
+        row, col, place = row[place < k], col[place < k], place[place < k]
+        for held, new, blank in ((self.scores, scores, np.inf), (self.settled, settled, np.inf), (self.ids, known, -1)):
+            best = np.full((len(rows), k), blank, dtype=held.dtype)
+            best[row, place] = new[row, col]
+            held[rows] = best
 
     def to_arrow(self, query_ids: np.ndarray) -> pa.RecordBatch:
-        row, col = np.nonzero(np.isfinite(self.scores))
+        row, col = np.nonzero(np.isfinite(self.settled))
         return pa.RecordBatch.from_arrays(
-            [pa.array(query_ids[row]), pa.array(self.ids[row, col]), pa.array(self.scores[row, col])],
+            [pa.array(query_ids[row]), pa.array(self.ids[row, col]), pa.array(self.scores[row, col]), pa.array(self.settled[row, col])],
             schema=_RESULT_ARROW,
         )
 
 
+def best_within(
+    query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, items: np.ndarray, k: int, bound: np.ndarray, start: np.ndarray, end: np.ndarray
+) -> pa.RecordBatch:
+    """The best ``k`` items of each query among ``items[start:end]`` of its own, none of them beyond ``bound`` if it is finite."""
+    best = _Best(len(queries), k)
+    order = np.argsort(start, kind="stable")
+    order = order[end[order] > start[order]]
+    step = max(1, min(256, CHUNK_CELLS // max(1, len(items))))
+    for at in range(0, len(order), step):
+        rows = order[at : at + step]
+        low, high = start[rows].min(), end[rows].max()
+        place = np.arange(low, high)
+        inside = (place >= start[rows, None]) & (place < end[rows, None])
+        best.add(rows, _distances(queries[rows], items[low:high], k, bound[rows], inside), ids[low:high])
+    return best.to_arrow(query_ids)
+
+
 def _search(best: _Best, queries: _Block, items: _Block, metric: str) -> None:
     """Fold a block of items into the running best of a block of queries, key by key."""
     if not len(items.ids) or not len(queries.ids):
@@ -135,7 +162,7 @@ def _search(best: _Best, queries: _Block, items: _Block, metric: str) -> None:
             if metric == "cosine":
                 scores = _cosines(queries.vectors[rows], items.vectors[part])
             else:
-                scores = _distances(queries.vectors[rows], items.vectors[part], best.k, best.scores[rows, -1])
+                scores = _distances(queries.vectors[rows], items.vectors[part], best.k, best.settled[rows, -1])
             best.add(rows, scores, items.ids[part])
 
 
@@ -147,7 +174,7 @@ def _prepared(df: DataFrame, id_col: str, vector_col: str, key: str | None) -> D
     )
 
 
-def _bytes(df: DataFrame) -> tuple[int, int]:
+def vector_bytes(df: DataFrame) -> tuple[int, int]:
     """Row count and total bytes of the vectors at double precision."""
     row = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("vector")), F.lit(0)).alias("cells")).first()
     return row["n"], row["cells"] * 8
@@ -160,7 +187,7 @@ def _by_broadcast_items(queries: DataFrame, items: DataFrame, k: int, metric: st
         for batch in batches:
             if batch.num_rows:
                 asked = _to_block(batch)
-                best = _Best(len(asked.ids), k)
+                best = _Best(len(asked.ids), k, metric)
                 _search(best, asked, _Block(*held.value), metric)
                 yield best.to_arrow(asked.ids)
 
@@ -174,52 +201,33 @@ def _by_broadcast_queries(queries: DataFrame, items: DataFrame, k: int, metric:
 
     def scan(batches):
         wanted = _Block(*held.value)
-        best = _Best(len(wanted.ids), k)
+        best = _Best(len(wanted.ids), k, metric)
         for batch in batches:
             if batch.num_rows:
                 _search(best, wanted, _to_block(batch), metric)
         yield best.to_arrow(wanted.ids)
 
-    items = items.filter(F.col("key").isin(keys))
-    # Every task answers every query, so a few splits share a task; fewer splits stay as they are.
-    tasks = TASKS_PER_CORE * items.sparkSession.sparkContext.defaultParallelism
-    return items.coalesce(tasks).mapInArrow(scan, _RESULT)
+    return items.filter(F.col("key").isin(keys)).mapInArrow(scan, _RESULT)
 
 
-def _by_blocks(
-    queries: DataFrame, items: DataFrame, k: int, metric: str, query_bytes: int, item_bytes: int
-) -> DataFrame:
-    """Cut every key into query blocks and item blocks, and search each pair of them."""
-
-    def blocks(df: DataFrame, limit: int, name: str) -> DataFrame:
-        size = F.sum(F.size("vector").cast("long") * 8)
-        return df.groupBy("key").agg(F.ceil(size / F.lit(limit)).cast("long").alias(name))
+def _query_block(queries: DataFrame, blocks: int, limit: int) -> DataFrame:
+    """``queries`` with the block of each: a key's queries lie together, parts of a hot key in several blocks."""
+    size = F.sum(F.size("vector").cast("long") * 8)
+    parts = broadcast_if_small(queries.groupBy("key").agg(F.ceil(size * PARTS / F.lit(limit)).cast("long").alias("parts")))
+    part = F.pmod(F.xxhash64("id"), F.greatest(F.col("parts"), F.lit(1)))
+    return queries.join(parts, "key").withColumn("query_block", F.pmod(F.xxhash64("key", part), F.lit(blocks)).cast("int")).drop("parts")
 
-    # one row per key; without a key it is a single row, which no shuffle by key may meet
-    layout = broadcast_if_small(
-        blocks(queries, query_bytes, "n_query").join(blocks(items, item_bytes, "n_item"), "key")
-    )
-
-    def cut(df: DataFrame, own: str, other: str) -> DataFrame:
-        own_block, other_block = own.replace("n_", "") + "_block", other.replace("n_", "") + "_block"
-        return (
-            df.join(layout, "key")
-            .withColumn(own_block, F.pmod(F.xxhash64("id"), F.col(own)))
-            .withColumn(other_block, F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)))
-            .select("id", "key", "vector", "query_block", "item_block")
-        )
 
-    pair = ("key", "query_block", "item_block")
-
-    def search(asked: pa.Table, found: pa.Table) -> pa.Table:
-        left = _to_block(asked)
-        best = _Best(len(left.ids), k)
-        _search(best, left, _to_block(found), metric)
-        return pa.Table.from_batches([best.to_arrow(left.ids)])
-
-    left = cut(queries, "n_query", "n_item").groupBy(*pair)
-    right = cut(items, "n_item", "n_query").groupBy(*pair)
-    return left.cogroup(right).applyInArrow(search, _RESULT)
+def _by_query_blocks(queries: DataFrame, items: DataFrame, k: int, metric: str, query_bytes: int, limit: int) -> DataFrame:
+    """One block of queries after the other; each one's merged lists are stored."""
+    blocks = max(1, math.ceil(query_bytes / limit))
+    dealt = materialize(_query_block(queries, blocks, limit))
+    found = None
+    for block in range(blocks):
+        asked = dealt.filter(F.col("query_block") == block).drop("query_block")
+        best = materialize(_merged(_by_broadcast_queries(asked, items, k, metric), k))
+        found = best if found is None else found.unionByName(best)
+    return found
 
 
 def nearest(
@@ -234,7 +242,6 @@ def nearest(
     item_vector: str = "embedding",
     key: str | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
-    item_block_bytes: int = ITEM_BLOCK_BYTES,
 ) -> DataFrame:
     """``(query_id, item_id, rank, score)``: the ``k`` nearest items of every query.
 
@@ -248,14 +255,15 @@ def nearest(
         raise ValueError(f"unknown metric {metric!r}")
     asked = _prepared(queries, query_id, query_vector, key)
     stored = _prepared(items, item_id, item_vector, key)
-    n_queries, query_bytes = _bytes(asked)
+    n_queries, query_bytes = vector_bytes(asked)
     # a task holds the queries and the best k of each
-    if query_bytes + n_queries * k * 16 <= broadcast_bytes:
+    query_bytes += n_queries * k * 24
+    if query_bytes <= broadcast_bytes:
         rows = _by_broadcast_queries(asked, stored, k, metric)
-    elif _bytes(stored)[1] <= broadcast_bytes:
+    elif vector_bytes(stored)[1] <= broadcast_bytes:
         rows = _by_broadcast_items(asked, stored, k, metric)
     else:
-        rows = _by_blocks(asked, stored, k, metric, broadcast_bytes, item_block_bytes)
+        rows = _by_query_blocks(asked, stored, k, metric, query_bytes, broadcast_bytes)
     return _ranked(rows, k, metric, query_id, item_id)
 
 
@@ -277,7 +285,7 @@ def nearest_of_few(
     """
     # computed once: the size check and the broadcast read the stored rows
     stored = materialize(_prepared(items, item_id, item_vector, None))
-    if _bytes(stored)[1] > broadcast_bytes:
+    if vector_bytes(stored)[1] > broadcast_bytes:
         return nearest(
             queries, items, k, metric=metric, query_id=query_id, item_id=item_id,
             query_vector=query_vector, item_vector=item_vector, broadcast_bytes=broadcast_bytes,
@@ -292,18 +300,55 @@ def nearest_of_few(
     )
 
 
+def placed_by_nearest(
+    queries: DataFrame, items: DataFrame, *, metric: str = "cosine", query_id: str = "query_id", query_vector: str = "embedding",
+    item_id: str = "cluster_id", item_vector: str = "centroid", broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """``(query_id, query_vector, item_id, score)``: queries with the nearest of few items, in one pass and without a join.
+
+    Where the items exceed the bound, the general form and a join take over.
+    """
+    stored = materialize(_prepared(items, item_id, item_vector, None))
+    asked = _prepared(queries, query_id, query_vector, None)
+    if vector_bytes(stored)[1] > broadcast_bytes:
+        found = nearest(asked, stored, 1, metric=metric, query_id="id", item_id="item_id", query_vector="vector",
+                        item_vector="vector", broadcast_bytes=broadcast_bytes)
+        rows = asked.join(found.select("id", "item_id", "score"), "id").select("id", "vector", "item_id", "score")
+    else:
+        held = queries.sparkSession.sparkContext.broadcast(tuple(_to_block(stored.toArrow())))
+
+        def place(batches):
+            for batch in batches:
+                if batch.num_rows:
+                    asked = _to_block(batch)
+                    best = _Best(len(asked.ids), 1, metric)
+                    _search(best, asked, _Block(*held.value), metric)
+                    known = pa.array(np.flatnonzero(np.isfinite(best.settled[:, 0])))
+                    score = best.scores[:, 0] if metric == "l2" else 0.0 - best.scores[:, 0]
+                    yield pa.RecordBatch.from_arrays([
+                        batch.column("id").take(known), batch.column("vector").take(known), pa.array(best.ids[:, 0]).take(known),
+                        pa.array(score).take(known)], ["id", "vector", "item_id", "score"])
+
+        kind = asked.schema["vector"].dataType.simpleString()
+        rows = asked.mapInArrow(place, f"id long, vector {kind}, item_id long, score double")
+    return rows.select(F.col("id").alias(query_id), F.col("vector").alias(query_vector), F.col("item_id").alias(item_id), "score")
+
+
 def _shown(metric: str):
     # Adding zero turns a negative zero into zero.
     return -F.col("score") + F.lit(0.0) if metric == "cosine" else F.col("score")
 
 
+def ranked(rows: DataFrame, k: int) -> DataFrame:
+    """The first ``k`` rows of each query with their ``rank``; partial lists are cut before the shuffle."""
+    order = Window.partitionBy("query_id").orderBy("settled", "item_id")
+    return rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+
+
+def _merged(rows: DataFrame, k: int) -> DataFrame:
+    return ranked(rows, k).drop("rank")
+
+
 def _ranked(rows: DataFrame, k: int, metric: str, query_id: str, item_id: str) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy("score", "item_id")
-    return (
-        rows.withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= k)
-        .select(
-            F.col("query_id").alias(query_id), F.col("item_id").alias(item_id), "rank",
-            _shown(metric).alias("score"),
-        )
-    )
+    return ranked(rows, k).select(
+        F.col("query_id").alias(query_id), F.col("item_id").alias(item_id), "rank", _shown(metric).alias("score"))

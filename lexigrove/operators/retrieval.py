@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lexigrove.functions import vectors as V
 from lexigrove.functions.constants import UNASSIGNED_CLUSTER
-from lexigrove.operators.nearest import nearest, nearest_of_few
+from lexigrove.operators.nearest import nearest, nearest_of_few, placed_by_nearest
 from lexigrove.plans.runtime import materialize
 
 
@@ -71,13 +71,19 @@ def cluster_aware_search(
     Where the store is a table partitioned by cluster, the chosen clusters become a partition
     filter of its scan.
     """
-    chosen = materialize(select_cluster(queries, centers, query_id=query_id))
-    return search_chosen(queries, store, chosen, k, query_id=query_id, **names)
+    vector = names.get("query_vector", "embedding")
+    placed = placed_by_nearest(queries, centers, query_id=query_id, query_vector=vector).withColumnRenamed("score", "similarity")
+    placed = materialize(placed.withColumn("cluster_id", F.col("cluster_id").cast("int")))
+    return _search_placed(placed, store, placed.select(query_id, "cluster_id", "similarity"), k, query_id, names)
 
 
 def search_chosen(queries: DataFrame, store: DataFrame, chosen: DataFrame, k: int = 5, *, query_id: str = "query_id", **names) -> DataFrame:
     """Search each query's chosen cluster; ``chosen`` is the stored result of ``select_cluster``."""
     placed = materialize(queries.join(chosen.select(query_id, "cluster_id"), query_id))
+    return _search_placed(placed, store, chosen, k, query_id, names)
+
+
+def _search_placed(placed: DataFrame, store: DataFrame, chosen: DataFrame, k: int, query_id: str, names: dict) -> DataFrame:
     found = nearest(placed, store, k, metric="l2", query_id=query_id, key="cluster_id", **names)
     return found.withColumnRenamed("score", "distance").join(chosen, query_id)
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lexigrove.functions import text as X, vectors as V
 from lexigrove.operators import (
-    clusters as C, encoder as E, evaluate as EV, profile as P, retrieval as R, running as RU, similarity as S,
+    clusters as C, encoder as E, evaluate as EV, profile as P, pruned as PR, retrieval as R, running as RU, similarity as S,
     tfidf as T, tokens as K,
 )
 from lexigrove.plans.runtime import materialize, scratch_path, spread
@@ -354,6 +354,13 @@ def flat_knn(spark, sf_dir):
     return found.select("query_id", F.col("rank").cast("long").alias("rank"), "doc_id", *rounded(9, "distance"))
 
 
+@query
+def pruned_knn(spark, sf_dir):
+    """``flat_knn`` by an index that skips what the triangle inequality rules out, and how many vectors each query reads."""
+    found = PR.search(vector_queries(spark, sf_dir), PR.build_index(store(spark, sf_dir)), 5)
+    return found.select("query_id", F.col("rank").cast("long").alias("rank"), "doc_id", *rounded(9, "distance"), "vectors_read")
+
+
 @query
 def flat_knn_scaled(spark, sf_dir):
     """``flat_knn`` over vectors a million times shorter; distances are shown in units of 1e-12."""

@@ -209,20 +209,32 @@ SELECT label::BIGINT AS cluster_id, count(*) AS size, max(len(embedding)) AS dim
 ORACLES["vector_store_totals"] = """
 SELECT count(*) AS total_documents, count(DISTINCT label) AS num_clusters, max(len(embedding)) AS dimension FROM embeddings"""
 FLAT = f"""
-fd AS (SELECT q.vec_id AS query_id, e.vec_id AS doc_id, round({SQ_L2 % ('q.embedding', 'e.embedding')}, 9) AS distance FROM embeddings q, embeddings e),
+fd AS (SELECT q.vec_id AS query_id, e.vec_id AS doc_id, {SQ_L2 % ('q.embedding', 'e.embedding')} AS distance FROM embeddings q, embeddings e),
 fr AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, doc_id) AS rank FROM fd),
-flat AS (SELECT query_id, rank, doc_id, distance FROM fr WHERE rank <= 5)"""
+flat AS (SELECT query_id, rank, doc_id, round(distance, 9) AS distance FROM fr WHERE rank <= 5)"""
 SELECTED = f"""{CENTROIDS},
 cs AS (SELECT q.vec_id AS query_id, cluster_id, round({DOT % ('embedding', 'centroid')} /
   (sqrt({DOT % ('embedding', 'embedding')}) * sqrt({DOT % ('centroid', 'centroid')})), 9) AS similarity FROM embeddings q, c),
 chosen AS (SELECT query_id, cluster_id, similarity FROM
   (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, cluster_id) AS rn FROM cs) WHERE rn = 1)"""
 AWARE = f"""{SELECTED},
-ad AS (SELECT query_id, e.vec_id AS doc_id, round({SQ_L2 % ('q.embedding', 'e.embedding')}, 9) AS distance, cluster_id, similarity
+ad AS (SELECT query_id, e.vec_id AS doc_id, {SQ_L2 % ('q.embedding', 'e.embedding')} AS distance, cluster_id, similarity
   FROM chosen JOIN embeddings q ON q.vec_id = query_id JOIN embeddings e ON e.label = cluster_id),
 ar AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, doc_id) AS rank FROM ad),
-aware AS (SELECT query_id, rank, doc_id, distance, cluster_id, similarity FROM ar WHERE rank <= 5)"""
+aware AS (SELECT query_id, rank, doc_id, round(distance, 9) AS distance, cluster_id, similarity FROM ar WHERE rank <= 5)"""
 ORACLES["flat_knn"] = f"WITH {FLAT} SELECT * FROM flat"
+ORACLES["pruned_knn"] = f"""
+WITH {CENTROIDS}, {FLAT},
+m AS (SELECT vec_id, label, sqrt({SQ_L2 % ('embedding', 'centroid')}) AS radius FROM embeddings JOIN c ON cluster_id = label),
+ends AS (SELECT label AS cluster_id, min(radius) AS low, max(radius) AS high FROM m GROUP BY label),
+gap AS (SELECT q.vec_id AS query_id, cluster_id, sqrt({SQ_L2 % ('q.embedding', 'centroid')}) AS gap FROM embeddings q, c),
+home AS (SELECT query_id, cluster_id FROM gap JOIN ends USING (cluster_id)
+  QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY round(greatest(0, gap - high, low - gap), 9), round(gap, 9), cluster_id) = 1),
+near AS (SELECT fd.query_id, m.radius, m.label AS cluster_id, home.cluster_id AS home, distance, doc_id FROM fd JOIN m ON vec_id = doc_id JOIN home USING (query_id)),
+reach AS (SELECT query_id, sqrt(distance) AS reach FROM near WHERE cluster_id = home QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY distance, doc_id) = 5),
+seen AS (SELECT query_id, count(*) AS vectors_read FROM near JOIN gap USING (query_id, cluster_id) LEFT JOIN reach USING (query_id)
+  WHERE cluster_id = home OR reach IS NULL OR abs(gap - radius) <= reach + 1e-9 * (reach + gap) GROUP BY query_id)
+SELECT query_id, rank, doc_id, distance, vectors_read FROM flat JOIN seen USING (query_id)"""
 ORACLES["cluster_select"] = f"WITH {SELECTED} SELECT * FROM chosen"
 ORACLES["cluster_aware_knn"] = f"WITH {AWARE} SELECT * FROM aware"
 ORACLES["search_space_reduction"] = f"""

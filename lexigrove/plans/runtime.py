@@ -6,8 +6,9 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 BROADCAST_BYTES = 32 * 1024 * 1024
 
@@ -94,13 +95,29 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Materialise a narrow table and mark it for broadcast only if it has few rows.
+def _row_bytes(df: DataFrame) -> Column:
+    """About what a row takes in memory."""
+    sizes = [F.lit(16)]
+    for field in df.schema.fields:
+        kind, column = field.dataType, F.col(f"`{field.name}`")
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            sizes.append(F.coalesce(F.octet_length(column), F.lit(0)) + 16)
+        elif isinstance(kind, T.ArrayType):
+            width = 8 if isinstance(kind.elementType, T.NumericType) else 32
+            sizes.append(F.coalesce(F.size(column), F.lit(0)) * width + 32)
+        else:
+            sizes.append(F.lit(8))
+    return reduce(Column.__add__, [s.cast("long") for s in sizes])
 
-    Beyond the bound the join is left to Spark (sort-merge with adaptive skew handling).
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000, max_bytes: int = BROADCAST_BYTES, *, stored: bool = False) -> DataFrame:
+    """Materialise a narrow table and mark it for broadcast only if it has few rows and bytes; ``stored`` says that it is stored already.
+
+    Beyond the bounds the join is left to Spark (sort-merge with adaptive skew handling).
     """
-    stored = materialize(df)
-    return F.broadcast(stored) if stored.count() <= max_rows else stored
+    table = df if stored else materialize(df)
+    rows, size = table.agg(F.count("*"), F.sum(_row_bytes(table))).first()
+    return F.broadcast(table) if rows <= max_rows and (size or 0) <= max_bytes else table
 
 
 def spread(df: DataFrame) -> DataFrame:

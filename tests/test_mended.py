@@ -43,7 +43,7 @@ def test_docx_tab_stops_are_no_text():
 
 
 @pytest.mark.parametrize("scale, gap", [(1e-6, 1e-6), (1.0, 1.0), (1e6, 1e-2)])
-@pytest.mark.parametrize("bounds", [{}, {"broadcast_bytes": 4000}, {"broadcast_bytes": 1000, "item_block_bytes": 3000}])
+@pytest.mark.parametrize("bounds", [{}, {"broadcast_bytes": 4000}, {"broadcast_bytes": 1000}])
 def test_nearest_is_exact_at_any_length(spark, scale, gap, bounds):
     draw = np.random.default_rng(5)
     centre = draw.normal(size=6) * scale

@@ -43,7 +43,7 @@ def data():
 FORMS = {
     "queries broadcast": {},
     "items broadcast": {"broadcast_bytes": 0},
-    "blocks": {"broadcast_bytes": 400, "item_block_bytes": 1500},
+    "blocks": {"broadcast_bytes": 400},
 }
 
 
