@@ -20,12 +20,13 @@ table gives an empty result. Other columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
@@ -34,12 +35,15 @@ from lexigrove.plans.runtime import materialize, scratch_scope
 
 CAPACITY = 1024
 #: Matches whose ids a task knows at a time.
-MOST_KNOWN = 300_000
+MOST_KNOWN = 600_000
 
-# Fixed value: the split of byte-level vocabularies without a pattern of their own.
-SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Characters whose class all pattern libraries agree on: printable ASCII, tab, line ends and the older Latin letters.
-_PLAIN = regex.compile(r"[\t\n\r\x20-\x7E¡-¬®-ſ‐-‧€]*")
+_PLAIN = re.compile(r"[\t\n\r\x20-\x7E¡-¬®-ſ‐-‧€]*").fullmatch
+_LETTER, _DIGIT = "A-Za-zªµºÀ-ÖØ-öø-ſ", "0-9²³¹¼½¾"
+# Fixed value: the split of byte-level vocabularies without a pattern of their own, with letters and digits of plain texts.
+SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_DIGIT}]+| ?[^\s{_LETTER}{_DIGIT}]+|\s+(?!\S)|\s+"
+#: Matches that the library encodes as one text, with line ends between them; short texts stay in its cache.
+LINES = 32
 
 
 class Ids:
@@ -51,26 +55,38 @@ class Ids:
 
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.split = regex.compile(SPLIT).findall
+        self.split = re.compile(SPLIT).findall
+        self.line_end, = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.most, self.known = most_known, {}
 
-    def _library(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _library(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def of(self, texts: list[str]) -> list[np.ndarray]:
-        plain = [bool(_PLAIN.fullmatch(t)) for t in texts]
+        plain = [bool(_PLAIN(t)) for t in texts]
         whole = iter(self._library([t for t, p in zip(texts, plain, strict=True) if not p]))
-        return [self._matches(t) if p else next(whole) for t, p in zip(texts, plain, strict=True)]
-
-    def _matches(self, text: str) -> np.ndarray:
-        matches = self.split(text)
-        known = self.known
-        if len(known) > self.most:
-            known.clear()
-        new = [m for m in dict.fromkeys(matches) if m not in known]
-        if new:
-            known.update((m, ids.tobytes()) for m, ids in zip(new, self._library(new), strict=True))
-        return np.frombuffer(b"".join(map(known.__getitem__, matches)), np.uint32)
+        matches = [self.split(t) if p else None for t, p in zip(texts, plain, strict=True)]
+        self._learn(matches)
+        found = (next(whole) if m is None else b"".join(map(self.known.__getitem__, m)) for m in matches)
+        return [np.frombuffer(ids, np.uint32) for ids in found]
+
+    def _learn(self, matches: list[list[str] | None]) -> None:
+        """The library's ids of all matches that are not known yet, asked for at once."""
+        met = set().union(*(m for m in matches if m))
+        if len(self.known) > self.most:
+            self.known = {m: self.known[m] for m in met & self.known.keys()}
+        new = met - self.known.keys()
+        blank = [m for m in new if m.isspace()]
+        self.known.update(zip(blank, self._library(blank), strict=True))
+        # no other match holds a line end, so one between two matches is a match and a token of its own
+        words = [m for m in new if not m.isspace()]
+        texts = ["\n".join(words[k : k + LINES]) for k in range(0, len(words), LINES)]
+        for k, ids in enumerate(self._library(texts)):
+            ids = np.frombuffer(ids, np.uint32)
+            ends = np.flatnonzero(ids == self.line_end) * 4
+            ids, starts = ids.tobytes(), [0, *(ends + 4).tolist()]
+            part = words[k * LINES : (k + 1) * LINES]
+            self.known.update(zip(part, [ids[a:b] for a, b in zip(starts, [*ends.tolist(), len(ids)], strict=True)], strict=True))
 
 
 def tokenize(
