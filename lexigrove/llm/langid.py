@@ -14,13 +14,13 @@ learned. Equal scores take the first language in order. Every row gets a row; ot
 
 from __future__ import annotations
 
-import re
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from lexigrove.llm.bpe import parse_ranks, read_ranks
@@ -29,7 +29,7 @@ SAMPLE, ROUNDS, LONGEST = 400, 6, 40
 START, UNKNOWN = "▁", 1e-7
 #: Words whose probabilities a task remembers; a full table is emptied.
 MAX_WORDS = 400_000
-_LETTERS = re.compile(r"[^\W\d_]+")
+_LETTERS = regex.compile(r"\p{L}+")
 
 
 def words_of(text: str | None) -> list[str]:

@@ -3,7 +3,9 @@
 Two sets that are alike to 0.8 share one of the first ``n - ceil(0.8 n) + 1`` shingles of each, in any order common to all
 texts. Only these are indexed, the ones known to be frequent last; shingles with one text are dropped as soon as they meet. The
 frequent ones come from a sample of texts, which decides the order and so the cost, never the result. What can't be
-ruled out by the sizes and the positions is verified on the whole sets, by integers. A shingle with more than ``BLOCK``
+ruled out by the sizes and the positions meets first by its profiles: the number of a set's shingles in each of ``CELLS`` cells
+of the hash. Two sets share at most the sum of the smaller numbers, so most pairs go before a set moves. The others are
+verified on the whole sets, by integers. A shingle with more than ``BLOCK``
 texts is cut into pairs of blocks, so that no task holds all its texts.
 """
 
@@ -27,6 +29,9 @@ FREQUENT, SAMPLED = 100_000, 8
 #: Shingles that a task gathers before it passes them on.
 FLUSH = 1 << 19
 
+#: Cells of a profile; a cell counts up to 254, more stands for any number.
+CELLS, MANY = 256, 255
+
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 
 
@@ -55,6 +60,36 @@ def node_of(shingles: np.ndarray) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
+def profile_of(shingles: np.ndarray) -> bytes:
+    """How many shingles of a set fall into each cell, a byte each."""
+    cells = np.bincount((shingles.view(np.uint64) >> np.uint64(56)).astype(np.int64), minlength=CELLS)
+    return np.minimum(cells, MANY).astype(np.uint8).tobytes()
+
+
+def may_be_alike(p: np.ndarray, q: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Which rows of profiles leave room for 0.8; ``sizes`` are the sums of both sets' sizes."""
+    common = np.minimum(p, q)
+    open_ended = (common == MANY).any(1)
+    return open_ended | (9 * common.sum(1, dtype=np.int64) >= 4 * sizes)
+
+
+def _plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The ``pairs`` that sizes and profiles don't rule out."""
+    sides = [nodes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("profile").alias(f"p_{c}")) for c in ("a", "b")]
+    both = pairs.join(sides[0], "a").join(sides[1], "b").filter("5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            p, q = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, CELLS) for c in ("p_a", "p_b"))
+            sizes = batch.column("size").to_numpy()
+            good = pa.array(may_be_alike(p, q, sizes))
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(good) for c in ("a", "b")], ["a", "b"])
+
+    return both.select("a", "b", (F.col("n_a") + F.col("n_b")).cast("long").alias("size"), "p_a", "p_b").mapInArrow(run, "a long, b long")
+
+
 def _sets(batch: pa.RecordBatch, words_of) -> Iterator[tuple[int, np.ndarray]]:
     """``(node, set)`` of a batch's texts, each set once."""
     seen = set()
@@ -176,6 +211,9 @@ def _across(index: DataFrame, roots: DataFrame) -> DataFrame:
     sizes = index.groupBy("h").agg(F.count("*").alias("rows")).filter(F.col("rows") > BLOCK)
     sizes = materialize(sizes.select("h", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks")))
     known = index.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # a shingle all of whose texts lie in one group has nothing to compare
+    several = known.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("h")
+    known = known.join(several, "h", "left_semi")
     cut = known.join(sizes, "h", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     cut = cut.withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -257,13 +295,14 @@ def _pairs(links: DataFrame) -> DataFrame:
 def alike(docs: DataFrame, nodes: DataFrame, proposed: DataFrame, words_of, *, text: str = "text") -> DataFrame:
     """``(node, other)``: links whose components are those of all pairs of sets alike to 0.8.
 
-    ``nodes`` has ``(node, text_hash)``, one text of each set; ``proposed`` has pairs of nodes that may be alike. Those and the
+    ``nodes`` has ``(node, text_hash, n, profile)``, one text of each set; ``proposed`` has pairs of nodes that may be alike. Those and the
     neighbours in the index are verified first; what then lies in one group needn't be compared any more.
     """
     index = _index(docs, text, words_of)
     tried = materialize(_pairs(proposed.toDF("a", "b").union(_stars(index))))
-    found = _verified(tried, docs, nodes, text, words_of)
-    rest = materialize(_pairs(_across(index, connected_components(found))).join(tried, ["a", "b"], "left_anti"))
+    found = _verified(materialize(_plausible(tried, nodes)), docs, nodes, text, words_of)
+    rest = _pairs(_across(index, connected_components(found))).join(tried, ["a", "b"], "left_anti")
+    rest = materialize(_plausible(rest, nodes))
     if not rest.isEmpty():
         found = found.union(_verified(rest, docs, nodes, text, words_of))
     return found.toDF("node", "other")

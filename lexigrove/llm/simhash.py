@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from lexigrove.llm import shingles
 from lexigrove.llm.components import connected_components
-from lexigrove.plans.runtime import materialize
+from lexigrove.plans.runtime import materialize, scratch_scope
 
 #: Rows of one variant that a task compares directly; beyond it the variant is cut further.
 BUCKET = 1024
@@ -280,20 +280,23 @@ CANDIDATE, CANDIDATE_BITS = Feature(1, 42, 5), 5
 
 
 def _print_sets(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """``(doc_id, text_hash, node, fp)``: a number for the set of five-word shingles, and the candidate fingerprint."""
+    """``(doc_id, text_hash, node, fp, n, profile)``: number, size and profile of the set of five-word shingles, and the candidate fingerprint."""
     source = docs.select(doc_id, F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_hash"), F.col(text).alias("_text"))
     kept = source.schema.fields[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = np.empty((2, batch.num_rows), np.int64)
+            out, profiles = np.empty((3, batch.num_rows), np.int64), []
             for i, value in enumerate(batch.column("_text")):
                 words = words_of(value.as_py())
-                out[0, i] = shingles.node_of(shingles.shingle_set(shingles.word_hashes(words)))
-                out[1, i] = _signed(fingerprint(words, CANDIDATE))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *map(pa.array, out)], [*(f.name for f in kept), "node", "fp"])
+                found = shingles.shingle_set(shingles.word_hashes(words))
+                out[:, i] = shingles.node_of(found), _signed(fingerprint(words, CANDIDATE)), len(found)
+                profiles.append(shingles.profile_of(found))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], *map(pa.array, out), pa.array(profiles, pa.binary())], [*(f.name for f in kept), "node", "fp", "n", "profile"])
 
-    return source.mapInArrow(run, T.StructType([*kept, *(T.StructField(n, T.LongType()) for n in ("node", "fp"))]))
+    return source.mapInArrow(run, T.StructType(
+        [*kept, *(T.StructField(n, T.LongType()) for n in ("node", "fp", "n")), T.StructField("profile", T.BinaryType())]))
 
 
 def near_copies(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -304,13 +307,14 @@ def near_copies(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id")
     """
     rows = materialize(_print_sets(docs, text, doc_id))
     key = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col("text_hash").alias("hash"))
-    nodes = materialize(rows.groupBy("node").agg(F.min(key).alias("smallest"), F.min("text_hash").alias("text_hash"), F.min("fp").alias("fp")))
+    nodes = materialize(rows.groupBy("node").agg(F.min(key).alias("smallest"), F.min("text_hash").alias("text_hash"), F.min("fp").alias("fp"),
+                                               F.min("n").alias("n"), F.min("profile").alias("profile")))
     prints = materialize(nodes.groupBy("fp").agg(F.min("node").alias("node")))
     near = links(prints.select(F.col("fp").alias("node"), "fp"), ["fp"], max_bits=CANDIDATE_BITS)
     ends = [prints.select(F.col("fp").alias(c), F.col("node").alias(n)) for c, n in (("node", "a"), ("other", "b"))]
     proposed = near.join(ends[0], "node").join(ends[1], "other").select("a", "b")
     proposed = proposed.union(nodes.join(prints.withColumnRenamed("node", "b"), "fp").select("node", "b"))
-    found = shingles.alike(docs, nodes.select("node", "text_hash"), proposed, words_of, text=text)
+    found = shingles.alike(docs, nodes.select("node", "text_hash", "n", "profile"), proposed, words_of, text=text)
     groups = _grouped(nodes, found)
     return rows.join(groups, "node").select(
         doc_id, "text_hash", F.col("component_id")["id"].alias("component_id"), (key == F.col("component_id")).alias("first")
@@ -319,8 +323,10 @@ def near_copies(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id")
 
 def keep_one(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` with one row of each group of near copies, all columns as they were."""
-    marked = near_copies(docs, text=text, doc_id=doc_id)
-    gone = materialize(marked.filter("not first").select(F.col(doc_id).alias("_id"), F.col("text_hash").alias("_hash")).distinct())
+    with scratch_scope(docs.sparkSession):
+        marked = near_copies(docs, text=text, doc_id=doc_id)
+        gone = marked.filter("not first").select(F.col(doc_id).alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+        gone = materialize(gone, outlive=True)
     packed = docs.select(F.struct("*").alias("_row"), F.col(doc_id).alias("_key"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("_text"))
     left = packed.join(gone, (F.col("_text") == F.col("_hash")) & F.col("_key").eqNullSafe(F.col("_id")), "left_anti")
     once = Window.partitionBy("_text", "_key").orderBy(F.xxhash64(F.col("_row").cast("string")))

@@ -371,3 +371,42 @@ def test_plan_of_many_pieces_is_small():
     assert plan.patterns < 20_000
     total = int((counts * np.arange(1025)).sum())
     assert plan.sequences <= 1.02 * total / 1024
+
+
+# near copies
+
+def test_profiles_rule_out_no_pair_that_is_alike():
+    from lexigrove.llm import shingles
+
+    draw = np.random.default_rng(8)
+    for _ in range(200):
+        n = int(draw.integers(1, 3000))
+        whole = np.unique(draw.integers(-(2**63), 2**63 - 1, n))
+        kept = whole[draw.random(len(whole)) < draw.choice([0.5, 0.8, 0.9, 1.0])]
+        other = np.unique(np.r_[kept, draw.integers(-(2**63), 2**63 - 1, int(draw.integers(0, n // 8 + 1)))])
+        p, q = (np.frombuffer(shingles.profile_of(x), np.uint8)[None] for x in (whole, other))
+        common = len(np.intersect1d(whole, other))
+        alike = 9 * common >= 4 * (len(whole) + len(other))
+        assert not alike or shingles.may_be_alike(p, q, np.array([len(whole) + len(other)]))[0]
+    crowded = np.arange(1000)  # all in one cell, more than a byte counts
+    p = np.frombuffer(shingles.profile_of(crowded), np.uint8)[None]
+    assert shingles.may_be_alike(p, p, np.array([2000]))[0]
+    strangers = [np.frombuffer(shingles.profile_of(draw.integers(-(2**63), 2**63 - 1, 300)), np.uint8)[None] for _ in range(2)]
+    assert not shingles.may_be_alike(*strangers, np.array([600]))[0]
+
+
+def test_few_pairs_of_whole_sets_are_verified(spark, sf_dir, monkeypatch):
+    from lexigrove.llm import shingles, simhash
+
+    seen = []
+    verified = shingles._verified
+    monkeypatch.setattr(shingles, "_verified", lambda pairs, *rest: seen.append(pairs.count()) or verified(pairs, *rest))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    simhash.near_copies(docs).count()
+    assert sum(seen) <= docs.count() / 10
+
+
+def test_signs_that_are_no_letters_have_no_language():
+    from lexigrove.llm import langid
+
+    assert langid._LETTERS.findall("² ½ Ⅷ 12 _ ①") == [] and langid._LETTERS.findall("añb c2d") == ["añb", "c", "d"]
