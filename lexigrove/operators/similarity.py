@@ -4,15 +4,20 @@ Documents with the same bag of words share one vector, so they are folded into o
 representative first, and a flood of copies costs one vector. A pair can only reach the
 threshold if it shares a term in both signatures, where a signature is the document's rarest
 terms up to the point at which the rest of its vector is too short to reach the threshold alone
-(prefix filtering for cosine joins). Vectors that share a signature term meet in groups of
-bounded size; a term with many documents is cut into blocks, and every block pair is a group
-of its own. Only the best ``k`` partners of a vector leave a group.
+(prefix filtering for cosine joins).
+
+Vectors that share a signature term meet in groups that hold entries of fixed size, not vectors: id, weight, and the length of
+the vector from the term on and behind it. A group gives pairs of ids with the product of their weights. Added up over all groups
+that is the part of the similarity that the signatures know, and the product of the two remainders behind the last shared
+term bounds the rest. Only pairs that can still reach the threshold meet their vectors, by one join a side. A term with many
+documents is cut into blocks, and every block pair is a group of its own.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lexigrove.operators.tfidf import idf
@@ -20,8 +25,12 @@ from lexigrove.plans.runtime import materialize
 
 DIGITS = 9
 POSTINGS_PER_GROUP = 10_000
-_PAIRS = "rep long, other long, similarity double"
-_PAIRS_ARROW = pa.schema([("rep", pa.int64()), ("other", pa.int64()), ("similarity", pa.float64())])
+#: Room for the rounding of sums, above that of the similarities shown.
+ROUNDING = 1e-8
+#: Pairs whose vectors are multiplied at a time.
+VERIFIED_ROWS = 2000
+_PARTS = "a long, b long, known double, rest double"
+_PAIRS = "a long, b long, similarity double"
 
 
 def _floor(threshold: float) -> float:
@@ -64,95 +73,115 @@ def _vectors(folded: DataFrame, threshold: float) -> DataFrame:
         F.collect_list("term").alias("terms"),
         F.collect_list(F.col("w") / F.sqrt("norm2")).alias("weights"),
         F.collect_list(
-            F.when(in_signature, F.struct("term", F.sqrt((F.col("norm2") - F.col("before")) / F.col("norm2")).alias("reach")))
+            F.when(in_signature, F.struct(
+                "term", (F.col("w") / F.sqrt("norm2")).alias("weight"), F.sqrt((F.col("norm2") - F.col("before")) / F.col("norm2")).alias("reach"),
+                F.sqrt(F.greatest(F.lit(0.0), F.col("norm2") - F.col("before") - square) / F.col("norm2")).alias("rest")))
         ).alias("signature"),
     )
 
 
-def _groups(vectors: DataFrame, threshold: float, hot: int, block: int) -> DataFrame:
-    """``(part, low, high, block, rep, shared)``: which vectors meet in which group, over which terms.
+def _groups(signatures: DataFrame, threshold: float, hot: int, block: int) -> DataFrame:
+    """``(part, low, high, block, term, rep, weight, reach, rest)``: which entries meet in which group.
 
     ``reach`` is the length of a vector from the term on. At the first term that two vectors share,
     the product of their reaches bounds their similarity, so a vector whose reach is too short for
     the longest one at a term need not come there.
     """
-    postings = vectors.select("rep", F.explode("signature").alias("s")).select("rep", "s.term", "s.reach")
+    postings = signatures.select("rep", F.explode("signature").alias("s")).select("rep", "s.*")
     sizes = postings.groupBy("term").agg(F.count("*").alias("n"), F.max("reach").alias("longest")).filter(F.col("n") > 1)
     sized = materialize(
         postings.join(sizes, "term").filter(F.col("reach") * F.col("longest") >= _floor(threshold))
     )
+    entry = ["term", "rep", "weight", "reach", "rest"]
     cold = sized.filter(F.col("n") <= hot)
     parts = max(1, cold.count() // POSTINGS_PER_GROUP)
-    packed = cold.groupBy("rep", F.pmod(F.xxhash64("term"), F.lit(parts)).cast("string").alias("part")).agg(
-        F.collect_list(F.struct("term", "reach")).alias("shared")
-    ).select("part", F.lit(-1).alias("low"), F.lit(-1).alias("high"), F.lit(-1).alias("block"), "rep", "shared")
+    none = F.lit(-1)
+    packed = cold.select(
+        F.pmod(F.xxhash64("term"), F.lit(parts)).cast("string").alias("part"), none.alias("low"), none.alias("high"), none.alias("block"), *entry)
     blocks = F.ceil(F.col("n") / F.lit(block)).cast("int")
     cut = sized.filter(F.col("n") > hot).select(
-        "term", "reach", "rep", F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("block"),
+        *entry, F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("block"),
         F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"),
     )
     spread = cut.select(
         F.concat(F.lit("term "), F.col("term").cast("string")).alias("part"), F.least("block", "other").alias("low"),
-        F.greatest("block", "other").alias("high"), "block", "rep", F.array(F.struct("term", "reach")).alias("shared"),
+        F.greatest("block", "other").alias("high"), "block", *entry,
     )
     return packed.unionByName(spread)
 
 
-def _group_search(k: int, threshold: float):
-    """Best partners inside one group, over candidates that share a term there."""
+def _group_parts(threshold: float):
+    """Pairs of ids that share a term of the group, the sum of the products there and the bound of what lies behind."""
+    floor = _floor(threshold)
 
-    def search(group: pa.Table) -> pa.Table:
-        reps = group.column("rep").to_numpy()
-        blocks = group.column("block").to_numpy()
+    def meet(group: pa.Table) -> pa.Table:
         cut = group.column("low")[0].as_py() != group.column("high")[0].as_py()
-        terms = group.column("terms").combine_chunks()
-        lengths = terms.value_lengths().to_numpy()
-        starts = np.concatenate([[0], np.cumsum(lengths)])
-        vocabulary, codes = np.unique(terms.flatten().to_numpy(), return_inverse=True)
-        weights = np.concatenate([c.flatten().to_numpy() for c in group.column("weights").chunks])
-        shared = group.column("shared").combine_chunks()
-        owners = np.repeat(np.arange(len(reps)), shared.value_lengths().to_numpy())
-        entries = shared.flatten()
-        keys, reach = entries.field("term").to_numpy(), entries.field("reach").to_numpy()
-        order = np.lexsort((-reach, keys))
-        owners, reach, edges = owners[order], reach[order], np.flatnonzero(np.diff(keys[order])) + 1
-        meets: list[list[np.ndarray]] = [[] for _ in reps]
-        for rows, lengthy in zip(np.split(owners, edges), np.split(reach, edges)):
-            if len(rows) > 1:
-                near = np.searchsorted(-lengthy, -_floor(threshold) / lengthy, side="right")
-                for row, count in zip(rows, near):
-                    if count:
-                        meets[row].append(rows[:count])
-        dense = np.zeros(len(vocabulary))
-        found = []
-        for row, lists in enumerate(meets):
-            if not lists:
-                continue
-            others = lists[0] if len(lists) == 1 else np.unique(np.concatenate(lists))
-            others = others[others != row]
-            if cut:
-                others = others[blocks[others] != blocks[row]]
-            if not len(others):
-                continue
-            own = slice(starts[row], starts[row + 1])
-            dense[codes[own]] = weights[own]
-            sizes = lengths[others]
-            begins = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            at = np.arange(sizes.sum()) - np.repeat(begins - starts[others], sizes)
-            scores = np.round(np.add.reduceat(dense[codes[at]] * weights[at], begins), DIGITS)
-            dense[codes[own]] = 0.0
-            near = np.flatnonzero(scores >= threshold)
-            best = near[np.lexsort((reps[others[near]], -scores[near]))][:k]
-            found.append((np.full(len(best), reps[row]), reps[others[best]], scores[best]))
-        if not found:
-            return _PAIRS_ARROW.empty_table()
-        return pa.table([np.concatenate(c) for c in zip(*found)], schema=_PAIRS_ARROW)
-
-    return search
+        reach = group.column("reach").to_numpy()
+        term = group.column("term").to_numpy()
+        order = np.lexsort((-reach, term))
+        term, reach = term[order], reach[order]
+        rep, weight, rest, block = (group.column(c).to_numpy()[order] for c in ("rep", "weight", "rest", "block"))
+        edges = [0, *(np.flatnonzero(np.diff(term)) + 1).tolist(), len(term)]
+        left, right = [], []
+        for start, end in zip(edges, edges[1:]):
+            # partners before a row in the order of reach, as far as the two reaches suffice
+            own = reach[start:end]
+            counts = np.minimum(np.searchsorted(-own, -floor / own, side="right"), np.arange(end - start))
+            rows = np.repeat(np.arange(end - start), counts)
+            left.append(start + rows)
+            right.append(start + np.arange(len(rows)) - np.repeat(np.cumsum(counts) - counts, counts))
+        i, j = np.concatenate(left), np.concatenate(right)
+        if cut:
+            across = block[i] != block[j]
+            i, j = i[across], j[across]
+        a, b = np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])
+        known, beyond = weight[i] * weight[j], rest[i] * rest[j]
+        order = np.lexsort((b, a))
+        a, b = a[order], b[order]
+        new = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])]) if len(a) else np.empty(0, np.int64)
+        known = np.add.reduceat(known[order], new) if len(a) else known
+        beyond = np.minimum.reduceat(beyond[order], new) if len(a) else beyond
+        return pa.table({"a": a[new], "b": b[new], "known": known, "rest": beyond})
+
+    return meet
+
+
+def _products(batch: pa.RecordBatch) -> np.ndarray:
+    """Inner products of the rows' two sparse vectors."""
+    sides = []
+    for terms, weights in (("terms_a", "weights_a"), ("terms_b", "weights_b")):
+        lists = batch.column(terms)
+        rows = np.repeat(np.arange(batch.num_rows), pc.list_value_length(lists).to_numpy())
+        sides.append((rows, lists.flatten().to_numpy(), batch.column(weights).flatten().to_numpy()))
+    codes = np.unique(np.concatenate([s[1] for s in sides]), return_inverse=True)[1]
+    width = int(codes.max(initial=0)) + 1
+    (rows_a, terms_a, weights_a), (rows_b, _, weights_b) = sides
+    key_a, key_b = rows_a * width + codes[: len(terms_a)], rows_b * width + codes[len(terms_a) :]
+    order = np.argsort(key_b)
+    key_b, weights_b = key_b[order], weights_b[order]
+    at = np.minimum(np.searchsorted(key_b, key_a), max(0, len(key_b) - 1))
+    both = key_b[at] == key_a
+    return np.bincount(rows_a[both], weights_a[both] * weights_b[at[both]], batch.num_rows)
+
+
+def _verified(pairs: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
+    """``(a, b, similarity)`` of the pairs that reach the threshold."""
+
+    def multiply(batches):
+        for whole in batches:
+            for start in range(0, whole.num_rows, VERIFIED_ROWS):
+                batch = whole.slice(start, VERIFIED_ROWS)
+                similarity = np.round(_products(batch), DIGITS)
+                near = pa.array(similarity >= threshold)
+                columns = [batch.column("a"), batch.column("b"), pa.array(similarity)]
+                yield pa.RecordBatch.from_arrays([c.filter(near) for c in columns], ["a", "b", "similarity"])
+
+    sides = [vectors.select(F.col("rep").alias(c), F.col("terms").alias(f"terms_{c}"), F.col("weights").alias(f"weights_{c}")) for c in ("a", "b")]
+    return pairs.join(sides[0], "a").join(sides[1], "b").mapInArrow(multiply, _PAIRS)
 
 
 def similar_documents(
-    tokens: DataFrame, *, k: int = 5, threshold: float = 0.8, doc_id: str = "doc_id", hot: int = 64, block: int = 2000
+    tokens: DataFrame, *, k: int = 5, threshold: float = 0.8, doc_id: str = "doc_id", hot: int = 64, block: int = 1000
 ) -> DataFrame:
     """``(doc_id, rank, other_id, similarity)``: up to ``k`` others per document, at or above the threshold.
 
@@ -163,9 +192,13 @@ def similar_documents(
         raise ValueError("threshold must be above 0 and at most 1")
     folded = materialize(_folded(tokens, doc_id))
     vectors = materialize(_vectors(folded, threshold))
-    met = _groups(vectors.select("rep", "signature"), threshold, hot, block).join(vectors.select("rep", "terms", "weights"), "rep")
-    pairs = met.groupBy("part", "low", "high").applyInArrow(_group_search(k, threshold), _PAIRS)
-    distinct = pairs.groupBy("rep", "other").agg(F.max("similarity").alias("similarity"))
+    met = _groups(vectors.select("rep", "signature"), threshold, hot, block)
+    parts = met.groupBy("part", "low", "high").applyInArrow(_group_parts(threshold), _PARTS)
+    sums = parts.groupBy("a", "b").agg(F.sum("known").alias("known"), F.min("rest").alias("rest"))
+    open_pairs = materialize(sums.filter(F.col("known") + F.col("rest") >= threshold - ROUNDING).select("a", "b"))
+    found = materialize(_verified(open_pairs, vectors.select("rep", "terms", "weights"), threshold))
+    distinct = found.select(F.col("a").alias("rep"), F.col("b").alias("other"), "similarity").unionByName(
+        found.select(F.col("b").alias("rep"), F.col("a").alias("other"), "similarity"))
     order = Window.partitionBy("rep").orderBy(F.desc("similarity"), "other")
     best = distinct.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k).drop("place")
 

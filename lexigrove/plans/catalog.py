@@ -14,7 +14,7 @@ from lexigrove.operators import (
 )
 from lexigrove.plans.runtime import materialize, scratch_path, spread
 from lexigrove.sources import files, tables
-from lexigrove.streaming import embed as ST
+from lexigrove.streaming import batches as SB, embed as ST, progress as SP, store as SS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -592,3 +592,50 @@ def stream_latest(spark, sf_dir):
     running = ST.start_embedding(ST.read_document_stream(spark, sent, both.schema), _lengths, out, f"{out}-state", sequence="version")
     ST.wait_for_completion(running)
     return ST.embeddings(spark, out).select("doc_id", F.get("embedding", F.lit(0)).cast("long").alias("n_chars"))
+
+
+@query
+def store_upsert(spark, sf_dir):
+    """Events upserted into a keyed store in four batches, one of them sent twice; the last event of each user stays."""
+    events = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
+    held = SS.KeyedStore(spark, scratch_path(spark, "upserted"), events.schema, key="user_id", order_by=["ts", "event_id"], buckets=16)
+    for number, part in enumerate((0, 1, 2, 2, 3)):
+        # a batch that is sent again has its old number
+        held.upsert(events.filter(F.pmod("event_id", F.lit(4)) == part), number if number < 3 else number - 1)
+    return held.read().select("user_id", "event_id", "event_type", "value")
+
+
+@query
+def stream_progress(spark, sf_dir):
+    """Totals that events have added up over a stream of the documents in eight files, a file a batch."""
+    sent = scratch_path(spark, "sent")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs.repartition(8).write.parquet(sent)
+    listener = SP.listen(spark)
+    try:
+        stream = ST.read_document_stream(spark, sent, docs.schema, max_files=1)
+        running = stream.writeStream.format("noop").option("checkpointLocation", f"{sent}-state").trigger(availableNow=True).start()
+        listener.expect(running.id, docs.count())
+        running.awaitTermination()
+        report = listener.wait(running)
+    finally:
+        spark.streams.removeListener(listener)
+    names = ("batches", "processed", "waiting", "total")
+    return spark.createDataFrame([tuple(report[n] for n in names)], ", ".join(f"{n} long" for n in names))
+
+
+@query
+def stream_batches(spark, sf_dir):
+    """Every document in a batch of 32 or, flushed by its timer, in a smaller one."""
+    sent, out = scratch_path(spark, "sent"), scratch_path(spark, "batches")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs.write.parquet(sent)
+    wanted = docs.count()
+    with SB.rocksdb(spark):
+        rows = SB.encode_in_batches(spark.readStream.schema(docs.schema).parquet(sent), _lengths, lanes=8)
+        running = rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-state").trigger(
+            processingTime="500 milliseconds").start()
+    SB.run_until(running, wanted, lambda: {"given_out": SB.written(spark, out)}, timeout=600)
+    found = spark.read.schema(SB.OUT).parquet(out)
+    sound = (F.col("size") <= SB.SIZE) & ((F.col("reason") == SB.FULL) == (F.col("size") == SB.SIZE))
+    return found.select("doc_id", F.get("embedding", F.lit(0)).cast("long").alias("n_chars"), sound.alias("sound"))

@@ -10,15 +10,17 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 SIZE, IDLE_MS, LANES = 32, 1000, 16
 _WAITING = "doc_id long, text string"
-_OUT = "lane int, batch_no long, size int, reason string, doc_id long, embedding array<float>"
+OUT = "lane int, batch_no long, size int, reason string, doc_id long, embedding array<float>"
 FULL, IDLE = "full", "idle"
 
 
@@ -76,17 +78,32 @@ def encode_in_batches(
     """``(lane, batch_no, size, reason, doc_id, embedding)``: a row for each document of a streaming frame.
 
     ``size`` is the number of documents of the row's batch, ``reason`` why it was given out. Ids are longs. The session needs the
-    RocksDB state store (``use_rocksdb``).
+    RocksDB state store (``rocksdb``).
     """
     rows = documents.select(
         F.pmod(F.xxhash64(doc_id), F.lit(lanes)).cast("int").alias("lane"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return rows.groupBy("lane").transformWithStateInPandas(
-        statefulProcessor=Batcher(encoder, size, idle_ms), outputStructType=_OUT, outputMode="Append", timeMode="ProcessingTime")
+        statefulProcessor=Batcher(encoder, size, idle_ms), outputStructType=OUT, outputMode="Append", timeMode="ProcessingTime")
 
 
-def use_rocksdb(spark) -> None:
-    """The state store that list state and timers need."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+@contextmanager
+def rocksdb(spark) -> Iterator[None]:
+    """Queries that start inside use the state store that list state and timers need."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def written(spark, path: str) -> int:
+    """Rows that a file sink has committed; 0 before its first batch."""
+    try:
+        return spark.read.schema(OUT).parquet(path).count()
+    except AnalysisException:  # no such folder yet
+        return 0
 
 
 def run_until(query, wanted: int, report: Callable[[], dict], timeout: float = 120.0) -> bool:
@@ -98,7 +115,7 @@ def run_until(query, wanted: int, report: Callable[[], dict], timeout: float = 1
     while query.isActive and time.monotonic() < ends:
         if report()["given_out"] >= wanted:
             break
-        time.sleep(0.2)
+        time.sleep(0.5)
     done = report()["given_out"] >= wanted
     query.stop()
     if query.exception():
