@@ -136,6 +136,18 @@ def corpus_roundtrip(spark, sf_dir):
     )
 
 
+@query
+def corpus_rejects(spark, sf_dir):
+    """Documents as JSON lines, some of them cut off or without text, and what became of the lines."""
+    path, empty = scratch_path(spark, "lines"), F.col("doc_id") % 5 == 0
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.when(empty, F.lit(" ")).otherwise(F.col("text")).alias("text"))
+    line = F.to_json(F.struct(F.col("doc_id").cast("string").alias("doc_id"), "text"))
+    docs.select(F.when(F.col("doc_id") % 7 == 0, F.substr(line, F.lit(1), F.length(line) - 1)).otherwise(line)).write.text(path)
+    kept, seen = tables.read_corpus_with_rejects(spark, path)
+    kept.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame(sorted(seen.get.items()), "kind string, lines long")
+
+
 @query
 def files_roundtrip(spark, sf_dir):
     """Every document as a text file of its own, parsed back from the folder."""

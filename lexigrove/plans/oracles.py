@@ -353,3 +353,7 @@ ORACLES["stream_latest"] = "SELECT doc_id, length(text) AS n_chars FROM document
 ORACLES["store_upsert"] = ORACLES["latest_wins"]
 ORACLES["stream_progress"] = "SELECT 8 AS batches, count(*) AS processed, 0 AS waiting, count(*) AS total FROM documents"
 ORACLES["stream_batches"] = "SELECT doc_id, length(text) AS n_chars, true AS sound FROM documents"
+ORACLES["corpus_rejects"] = """
+SELECT kind, count(doc_id) AS lines FROM (SELECT unnest(['kept', 'blank', 'bad']) AS kind) LEFT JOIN
+  (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'bad' WHEN doc_id % 5 = 0 OR NOT regexp_matches(text, '\\S') THEN 'blank' ELSE 'kept' END AS kind FROM documents)
+  USING (kind) GROUP BY kind"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from lexigrove.functions import text as X
@@ -31,6 +31,29 @@ def read_corpus_jsonl(spark: SparkSession, path: str, schema: str = "doc_id stri
     return rows.filter(~X.is_blank("text")).select(*cast)
 
 
+#: What becomes of a line of a corpus.
+KEPT, BLANK, BAD = "kept", "blank", "bad"
+
+
+def read_corpus_with_rejects(
+    spark: SparkSession, path: str, schema: str = "doc_id string, text string, word_count int, processing_time double"
+) -> tuple[DataFrame, Observation]:
+    """``read_corpus_jsonl`` and, once it has been read, how many lines were ``kept``, ``blank`` and ``bad``.
+
+    The counts come from the pass that reads the rows: no second scan, nothing stored. ``observation.get`` waits for the first job
+    over the rows; later jobs over them do not change it.
+    """
+    fields = StructType.fromDDL(schema).fields
+    loose = StructType([*(StructField(f.name, StringType()) for f in fields), StructField("_bad_line", StringType())])
+    rows = spark.read.schema(loose).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad_line").json(path)
+    kind = F.when(F.col("_bad_line").isNotNull(), BAD).when(X.is_blank("text"), BLANK).otherwise(KEPT)
+    seen = Observation()
+    # kinds are counted before the filter, which can't move below the counters
+    counted = rows.withColumn("_kind", kind).observe(seen, *(F.count_if(F.col("_kind") == k).alias(k) for k in (KEPT, BLANK, BAD)))
+    cast = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in fields]
+    return counted.filter(F.col("_kind") == KEPT).select(*cast), seen
+
+
 def read_documents_json(spark: SparkSession, path: str) -> DataFrame:
     """A JSON array of documents, as an import of files made elsewhere."""
     return spark.read.option("multiLine", True).schema(DOCUMENTS_JSON).json(path).withColumnRenamed("id", "doc_id")

@@ -24,6 +24,17 @@ def test_jsonl_keeps_rows_whose_optional_fields_have_another_type(spark, tmp_pat
     assert rows == {"a": ("one", None, None), "b": ("two", 3, None), "7": ("t", 4, 1.0)}
 
 
+def test_rejected_lines_are_counted_in_the_same_pass(spark, tmp_path):
+    lines = ['{"doc_id":"a","text":"one","word_count":2.5}', "{bad", '{"doc_id":"c","text":" "}', '{"doc_id":"d"}', "[1", '{"doc_id":7,"text":"t"}', ""]
+    (tmp_path / "x.jsonl").write_text("\n".join(lines) + "\n")
+    kept, seen = tables.read_corpus_with_rejects(spark, str(tmp_path))
+    assert kept._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert sorted(r.doc_id for r in kept.collect()) == ["7", "a"]
+    assert seen.get == {"kept": 2, "blank": 2, "bad": 2}
+    # the rows are those of the reader that only drops
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, tables.read_corpus_jsonl(spark, str(tmp_path)).collect()))
+
+
 def test_byte_order_marks(spark):
     texts = ["héllo".encode("utf-16"), b"\xef\xbb\xbfhi\xc3\xa9", b"\xfe\xff" + "hé".encode("utf-16-be"), "hé".encode("latin-1"),
              "hé".encode("utf-32"), b"", b"\xff\xfe"]
