@@ -97,7 +97,7 @@ def _targets(asked: DataFrame, centers: DataFrame, first: int, rest: bool) -> Da
     table = centers.orderBy("cluster_id").toArrow()
     ids = table["cluster_id"].to_numpy()
     held = asked.sparkSession.sparkContext.broadcast((
-        ids, np.array(table["centroid"].to_pylist(), float).reshape(len(ids), -1), table["low"].to_numpy(), table["high"].to_numpy()))
+        ids, _matrix(table["centroid"]), table["low"].to_numpy(), table["high"].to_numpy()))
 
     def choose(batches):
         names, matrix, low, high = held.value
@@ -153,7 +153,7 @@ def _probe(targets: DataFrame, index: Index, blocks: DataFrame, k: int, chunks:
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     flat = [c.flatten().to_numpy(zero_copy_only=False) for c in column.chunks]
-    return np.concatenate([np.empty(0), *flat]).reshape(len(column), -1)
+    return np.concatenate([np.empty(0), *flat]).reshape(len(column), -1 if len(column) else 0)
 
 
 def search(
