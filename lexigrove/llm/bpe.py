@@ -2,7 +2,7 @@
 
 Encoding. Within one match of the split pattern, a text has exactly one BPE token sequence, and a sequence is that
 one if every two neighbours are what merging yields for their joined bytes. Reading left to right, a hypothesis is
-*the last token so far plus the bytes of a token still open*; the set of hypotheses is a state of a subset
+*the last token so far plus the bytes of a token still open*, the latter a node of a trie; the set of hypotheses is a state of a subset
 construction, each with the tokens it has not yet emitted. Tokens that all hypotheses share are emitted on
 the transition, so output lags by at most the longest token. States and transitions are made when first met.
 
@@ -19,7 +19,7 @@ from __future__ import annotations
 import base64
 import gc
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, types as T
 #: Bounds of the tables each task keeps; a full table is emptied, which costs time and changes no result.
 MAX_STATES, MAX_WORDS, MAX_WORD_CHARS = 250_000, 300_000, 64
 
-Hypothesis = tuple[tuple[int, ...], int, bytes]
+Hypothesis = tuple[tuple[int, ...], int, int]
 
 
 def read_ranks(path: str) -> bytes:
@@ -62,62 +62,146 @@ def merge_pieces(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in parts]
 
 
+#: The rank at which a token's edge ends that nothing inside the token ends.
+NEVER = 1 << 40
+
+
 class Transducer:
     """Reads the bytes of one match, emits token ids after bounded lookahead."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
-        self.open = {p: p for p in {token[:i] for token in ranks for i in range(1, len(token))}}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        # prefixes of tokens as a trie: node 0 is the empty one, a child's key is its parent and the byte
+        self.child: dict[int, int] = {}
+        self.token_at, self.longer = [-1], bytearray(1)
+        for token, rank in ranks.items():
+            node = 0
+            for byte in token:
+                key = node << 8 | byte
+                below = self.child.get(key)
+                if below is None:
+                    below = self.child[key] = len(self.token_at)
+                    self.token_at.append(-1)
+                    self.longer.append(0)
+                    self.longer[node] = 1
+                node = below
+            self.token_at[node] = rank
+        self.pairs: dict[int, bool] = {}
+        self.edges: dict[int, tuple[list[tuple[bytes, int]], list[tuple[bytes, int]]] | None] = {}
         self._reset()
 
     def _reset(self) -> None:
-        start: tuple[Hypothesis, ...] = (((), -1, b""),)
+        start: tuple[Hypothesis, ...] = (((), -1, 0),)
         self.numbers = {start: 0}
         self.states = [start]
         self.hypotheses: dict[Hypothesis, Hypothesis] = {}
         self.moves: dict[int, tuple[tuple[int, ...], int]] = {}
         self.ends: list[tuple[int, ...] | None] = [()]
 
+    def edges_of(self, token: int) -> tuple[list[tuple[bytes, int]], list[tuple[bytes, int]]] | None:
+        """What stands at the left and the right edge while the token's bytes are merged, each with the rank of the merge that ends it.
+
+        None for a token that merging does not yield, or not by merges of rising rank.
+        """
+        if token not in self.edges:
+            whole = self.bytes_of[token]
+            parts = [whole[i : i + 1] for i in range(len(whole))]
+            left, right, before = [], [], -1
+            while len(parts) > 1:
+                joins = [self.ranks.get(a + b, NEVER) for a, b in pairwise(parts)]
+                rank = min(joins)
+                if rank == NEVER or rank < before:
+                    break
+                at, before = joins.index(rank), rank
+                if at == 0:
+                    left.append((parts[0], rank))
+                if at == len(parts) - 2:
+                    right.append((parts[-1], rank))
+                parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            regular = len(parts) == 1
+            self.edges[token] = ([*left, (whole, NEVER)], [*right, (whole, NEVER)]) if regular else None
+        return self.edges[token]
+
+    def _side_by_side(self, left: int, right: int) -> bool:
+        """No two neighbours at the boundary are joined before either is joined with something on its own side.
+
+        Both sides merge by rising rank and on their own until a join crosses the boundary, so it is enough to look at what
+        stands at it at the same time; of joins of one rank the leftmost comes first.
+        """
+        before, after = self.edges_of(left), self.edges_of(right)
+        if before is None or after is None:
+            return merge_pieces(self.bytes_of[left] + self.bytes_of[right], self.ranks) == [left, right]
+        ranks, i, j = self.ranks, 0, 0
+        before, after = before[1], after[0]
+        while True:
+            (a, a_ends), (b, b_ends) = before[i], after[j]
+            joined = ranks.get(a + b, NEVER)
+            if joined < a_ends and joined <= b_ends:
+                return False
+            if a_ends == b_ends == NEVER:
+                return True
+            if a_ends <= b_ends:
+                i += 1
+            else:
+                j += 1
+
     def fits(self, left: int, right: int) -> bool:
         """Whether merging the joined bytes of both tokens gives these two tokens."""
-        known = self.pairs.get((left, right))
+        key = left + 1 << 32 | right
+        known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) >= MAX_STATES:
                 self.pairs.clear()
-            joined = (self.bytes_of[left] if left >= 0 else b"") + self.bytes_of[right]
-            known = merge_pieces(joined, self.ranks) == ([left, right] if left >= 0 else [right])
-            self.pairs[left, right] = known
+            if left >= 0:
+                known = self._side_by_side(left, right)
+            else:
+                known = self.edges_of(right) is not None or merge_pieces(self.bytes_of[right], self.ranks) == [right]
+            self.pairs[key] = known
         return known
 
     def step(self, number: int, byte: int) -> tuple[tuple[int, ...], int]:
-        """Make the transition: ids to emit and the next state, -1 where the sequence isn't unique."""
+        """Make the transition: ids to emit and the next state, -1 where the sequence isn't unique.
+
+        Hypotheses stand by falling length of what is open, so the longest token is tried first. Where it and the others
+        are regular, the first that fits is the only one; irregular ones are all tried.
+        """
+        child, token_at, longer = self.child.get, self.token_at, self.longer
         reached: list[Hypothesis] = []
-        closed: list[Hypothesis] = []
-        letter = bytes((byte,))
-        for pending, last, tail in self.states[number]:
-            longer = tail + letter
-            known = self.open.get(longer)
-            if known is not None:
-                reached.append((pending, last, known))
-            token = self.ranks.get(longer)
-            if token is not None and self.fits(last, token):
-                closed.append(((*pending, token), token, b""))
-        if len(closed) != 1:
+        closed: tuple[tuple[int, ...], int] | None = None
+        unique = True
+        for pending, last, node in self.states[number]:
+            below = child(node << 8 | byte)
+            if below is None:
+                continue
+            if longer[below]:
+                reached.append((pending, last, below))
+            token = token_at[below]
+            if token >= 0:
+                if closed is None:
+                    if self.fits(last, token):
+                        closed = (pending, token)
+                elif (self.edges_of(token) is None or self.edges_of(closed[1]) is None) and self.fits(last, token):
+                    unique = False
+        if closed is None or not unique:
             move = ((), -1)
         else:
-            reached += closed
-            first = reached[0][0]
-            shared = min(len(h[0]) for h in reached)
-            for pending, _, _ in reached[1:]:
-                k = 0
-                while k < shared and pending[k] == first[k]:
-                    k += 1
-                shared = k
+            first = (*closed[0], closed[1])
+            reached.append((first, closed[1], 0))
+            shared = len(first)
+            for pending, _, _ in reached:
+                if pending is not first:
+                    k, most = 0, min(shared, len(pending))
+                    while k < most and pending[k] == first[k]:
+                        k += 1
+                    shared = k
+                    if not shared:
+                        break
             # hypotheses are kept once, as many states have the same ones
             share = self.hypotheses.setdefault
-            state = tuple(share(h, h) for h in ((pending[shared:], last, tail) for pending, last, tail in reached))
+            if shared:
+                reached = [(pending[shared:], last, node) for pending, last, node in reached]
+            state = tuple([share(h, h) for h in reached])
             target = self.numbers.get(state)
             if target is None:
                 target = self.numbers[state] = len(self.states)
