@@ -4,33 +4,42 @@ from __future__ import annotations
 
 import time
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lexigrove.operators.nearest import nearest_of_few
+from lexigrove.operators.tfidf import feature_rows
+from lexigrove.plans.runtime import broadcast_if_small
 
 
-#: Partitions of the fit; a large corpus takes more, and then always as many.
-LAYOUT = 16
+#: Partitions of a small fit, and how many rows a partition of a larger one holds at most.
+LAYOUT, LAYOUT_ROWS = 16, 1 << 17
 INIT_STEPS = 5
 
 
+def layout_of(rows: int) -> int:
+    """Partitions for so many rows: a power of two that only the rows decide, not cores or input splits."""
+    return max(LAYOUT, 1 << (-(-rows // LAYOUT_ROWS) - 1).bit_length())
+
+
 def fit_kmeans(
-    features: DataFrame, k: int = 5, *, max_iter: int = 100, seed: int = 42, doc_id: str = "doc_id", layout: int = LAYOUT
+    features: DataFrame, k: int = 5, *, max_iter: int = 100, seed: int = 42, doc_id: str = "doc_id", layout: int | None = None
 ) -> KMeansModel:
     """Fit on ``(doc_id, features)``; ``k`` is lowered to the number of rows.
 
-    Only ``k`` rows are looked at for that. Rows are laid out by ``doc_id`` in ``LAYOUT`` sorted partitions, because the
+    Rows are laid out by ``doc_id`` in sorted partitions whose number follows from the number of rows (``layout_of``), because the
     start of the algorithm draws by partition: cores and input splits then don't change the result. The start takes
     ``INIT_STEPS`` rounds of candidates, so that no far cluster is missed. The features are kept across the iterations and spill to disk where memory is short.
     """
-    found = len(features.select(F.lit(1)).limit(k).collect())
+    found = features.count()
     if found < 2:
         raise ValueError("clustering needs at least two rows")
-    placed = features.repartition(layout, doc_id).sortWithinPartitions(doc_id)
+    placed = features.repartition(layout or layout_of(found), doc_id).sortWithinPartitions(doc_id)
     kept = placed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return KMeans(k=min(k, found), maxIter=max_iter, seed=seed, featuresCol="features", predictionCol="cluster_id", initSteps=INIT_STEPS).fit(kept)
@@ -55,6 +64,25 @@ def assign_to_centers(points: DataFrame, centers: DataFrame, *, doc_id: str = "d
     return found.select(doc_id, F.col("cluster_id").cast("int").alias("cluster_id"), F.col("score").alias("distance"))
 
 
+def not_nearest(spark: SparkSession, model: KMeansModel, assigned: DataFrame, *, doc_id: str = "doc_id") -> Column:
+    """Rows of sparse ``features`` whose centre is farther than another one, as a scalar: distances from products of their entries.
+
+    The centres move as rows by feature (at most ``k`` numbers each); a document's products are summed before and after one shuffle.
+    """
+    middle = np.array(model.clusterCenters())
+    k, squares = len(middle), (middle**2).sum(axis=1)
+    used = np.flatnonzero(middle.any(axis=0))
+    weights = spark.createDataFrame(
+        pd.DataFrame({"feature": used.astype("int32"), "weights": middle[:, used].T.tolist()}), "feature int, weights array<double>")
+    entries = feature_rows(assigned, doc_id=doc_id).join(broadcast_if_small(weights), "feature")
+    products = entries.groupBy(doc_id).agg(F.array([F.sum(F.col("weight") * F.col("weights")[c]) for c in range(k)]).alias("products"))
+    # a document that shares no feature with any centre is as far from each as the centre is long
+    gaps = F.array([F.lit(float(squares[c])) - 2 * F.coalesce(F.col("products")[c], F.lit(0.0)) for c in range(k)])
+    known = assigned.select(doc_id, "cluster_id").join(products, doc_id, "left").select("cluster_id", gaps.alias("gaps"))
+    slack = 1e-9 * (1.0 + float(squares.max()))
+    return known.agg(F.count_if(F.get("gaps", "cluster_id") > F.array_min("gaps") + slack)).scalar()
+
+
 def one_cluster_cost(features: DataFrame) -> float:
     """Sum of squared distances to the mean of all rows."""
     row = features.select(Summarizer.metrics("mean", "normL2", "count").summary(F.col("features")).alias("s")).first()["s"]

@@ -8,7 +8,8 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import HashingTF, IDF, Normalizer
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.functions import predict_batch_udf
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from lexigrove.functions import text as X, vectors as V
 from lexigrove.operators.tokens import tokenize_documents
@@ -62,6 +63,24 @@ def embed(
     return texts.mapInPandas(run, f"{fields}, embedding array<float>" if fields else "embedding array<float>")
 
 
+def embed_with_model(
+    texts: DataFrame, load: Callable[[], TextEncoder], *, text: str = "text", batch_size: int = BATCH_SIZE
+) -> DataFrame:
+    """``embed`` for a model that is dear to load: ``load`` runs once in each Python worker and gives the function that encodes.
+
+    Workers outlive tasks, so a table of many partitions loads the model as often as there are workers. A null text counts as empty.
+    Columns other than the text are passed on and never reach Python; works on streams too.
+    """
+
+    def predictor() -> Callable[[np.ndarray], np.ndarray]:
+        encode = load()
+        return lambda batch: np.asarray(encode(["" if t is None else t for t in batch.tolist()]), dtype=np.float32)
+
+    run = predict_batch_udf(predictor, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size)
+    kept = [c for c in texts.columns if c not in (text, "embedding")]
+    return texts.select(*kept, run(F.coalesce(text, F.lit(""))).alias("embedding"))
+
+
 def embedding_rows(embeddings: DataFrame, doc_id: str) -> DataFrame:
     """Non-zero entries as ``(doc_id, dim, value)`` rows."""
     return embeddings.select(doc_id, F.posexplode_outer("embedding").alias("dim", "value")).filter(F.col("value") != 0)

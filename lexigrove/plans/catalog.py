@@ -8,12 +8,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lexigrove.functions import text as X, vectors as V
+from lexigrove.functions.constants import UNASSIGNED_CLUSTER
 from lexigrove.operators import (
     clusters as C, encoder as E, evaluate as EV, profile as P, pruned as PR, retrieval as R, running as RU, similarity as S,
     tfidf as T, tokens as K,
 )
 from lexigrove.plans.runtime import materialize, scratch_path, spread
-from lexigrove.sources import files, tables
+from lexigrove.sources import bucketed as B, files, tables
 from lexigrove.streaming import batches as SB, embed as ST, progress as SP, store as SS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -239,7 +240,8 @@ def kmeans_documents(spark, sf_dir):
     """Hashed TF-IDF of the corpus clustered with ten centres: what any sound fit fulfils."""
     features = materialize(T.hashed_tfidf(K.tokenize_documents(documents(spark, sf_dir, "text"))))
     model = C.fit_kmeans(features, 10, max_iter=20)
-    return C.fit_facts(model, C.assign(model, features))
+    assigned = C.assign(model, features)
+    return C.fit_facts(model, assigned).withColumn("not_nearest", C.not_nearest(spark, model, assigned))
 
 
 @query
@@ -328,6 +330,40 @@ def query_embed(spark, sf_dir):
     return rows.select("item_id", F.col("dim").cast("long").alias("dim"), F.round(F.col("value").cast("double"), 6).alias("value"))
 
 
+def _load_letter_counter():
+    """A stand-in for a model: a matrix from bytes to the letters a to z, and a function that applies it to the byte counts of texts."""
+    weights = np.zeros((256, 26), np.float32)
+    for letter in range(26):
+        weights[ord("a") + letter, letter] = weights[ord("A") + letter, letter] = 1
+
+    def encode(texts):
+        counts = np.stack([np.bincount(np.frombuffer(t.encode("utf-8", "replace"), np.uint8), minlength=256) for t in texts])
+        return counts.astype(np.float32) @ weights
+
+    return encode
+
+
+@query
+def model_embed(spark, sf_dir):
+    """Documents encoded by a model that each Python worker loads once."""
+    rows = E.embedding_rows(E.embed_with_model(documents(spark, sf_dir, "text"), _load_letter_counter), "doc_id")
+    return rows.select("doc_id", F.col("dim").cast("long").alias("dim"), F.col("value").cast("long").alias("value"))
+
+
+@query
+def joined_documents(spark, sf_dir):
+    """Documents with their vectors and clusters out of bucketed tables: three tables, no shuffle in the join."""
+    held = B.Buckets(spark, number=16)
+    vectors = store(spark, sf_dir)
+    held.write("documents", documents(spark, sf_dir, "lang", "source", "text"))
+    held.write("vectors", vectors.select("doc_id", "embedding"))
+    held.write("assignments", vectors.select("doc_id", "cluster_id"))
+    return held.join("documents", "vectors", "assignments").select(
+        "doc_id", "lang", "source", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars"),
+        F.coalesce(F.col("cluster_id").cast("long"), F.lit(UNASSIGNED_CLUSTER).cast("long")).alias("cluster_id"),
+        F.coalesce(F.array_size("embedding"), F.lit(0)).cast("long").alias("dimension"))
+
+
 @query
 def query_captions(spark, sf_dir):
     return table(spark, sf_dir, "benchmark").select(

@@ -193,6 +193,13 @@ u AS (SELECT doc_id, feature AS dim, (w / norm)::FLOAT::DOUBLE AS value FROM w J
 ORACLES["doc_embed"] = f"WITH {EMBED} SELECT doc_id, dim, round(value, 6) AS value FROM u WHERE doc_id >= 0"
 ORACLES["stream_embed"] = ORACLES["doc_embed"]
 ORACLES["query_embed"] = f"WITH {EMBED} SELECT -1 - doc_id AS item_id, dim, round(value, 6) AS value FROM u WHERE doc_id < 0"
+ORACLES["model_embed"] = """
+SELECT doc_id, dim, value FROM (SELECT doc_id, dim, length(t) - length(replace(t, chr((97 + dim)::INT), '')) AS value
+  FROM (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents), range(26) AS d(dim))
+WHERE value > 0"""
+ORACLES["joined_documents"] = """
+SELECT doc_id, lang, source, length(coalesce(text, '')) AS n_chars, coalesce(label, -1)::BIGINT AS cluster_id, coalesce(len(embedding), 0) AS dimension
+FROM documents LEFT JOIN embeddings ON vec_id = doc_id"""
 ORACLES["query_captions"] = "SELECT item_id, 'Q' || (item_id + 1) AS name, text[:50] AS caption FROM benchmark"
 ORACLES["text_search"] = f"""
 WITH {EMBED}, sq AS (SELECT doc_id, sum(value * value) AS sq FROM u GROUP BY doc_id),
@@ -342,7 +349,8 @@ ORACLES["kmeans_cluster"] = """
 SELECT count(*) AS points, 0::BIGINT AS clusters_out_of_range, true AS clusters_at_most_k, true AS cost_not_above_one_cluster,
   0::BIGINT AS not_nearest FROM embeddings"""
 ORACLES["kmeans_documents"] = f"""
-WITH {RAW_DOCS} SELECT count(*) AS points, 0::BIGINT AS clusters_out_of_range, true AS clusters_at_most_k, true AS cost_not_above_one_cluster FROM docs"""
+WITH {RAW_DOCS} SELECT count(*) AS points, 0::BIGINT AS clusters_out_of_range, true AS clusters_at_most_k, true AS cost_not_above_one_cluster,
+  0::BIGINT AS not_nearest FROM docs"""
 ORACLES["corpus_roundtrip"] = f"""
 SELECT doc_id::VARCHAR AS doc_id, text, n_chars AS word_count, 0.5::DOUBLE AS processing_time FROM documents WHERE {NOT_BLANK}"""
 _FILES = f"(SELECT doc_id, {STRIP % 'text'} AS text FROM documents)"
