@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from lexigrove.functions import text as X, vectors as V
 from lexigrove.functions.constants import UNASSIGNED_CLUSTER
 from lexigrove.operators import (
-    clusters as C, encoder as E, evaluate as EV, profile as P, pruned as PR, retrieval as R, running as RU, similarity as S,
+    clusters as C, encoder as E, evaluate as EV, profile as P, pruned as PR, readiness as RD, retrieval as R, running as RU, similarity as S,
     tfidf as T, tokens as K,
 )
 from lexigrove.plans.runtime import materialize, scratch_path, spread
@@ -623,6 +623,27 @@ def stream_embed(spark, sf_dir):
     return rows.select("doc_id", F.col("dim").cast("long").alias("dim"), F.round(F.col("value").cast("double"), 6).alias("value"))
 
 
+@query
+def search_until_ready(spark, sf_dir):
+    """Every benchmark text searched before, amid and after a stream that embeds the documents, even ids first."""
+    docs = documents(spark, sf_dir, "text")
+    sent, out = scratch_path(spark, "sent"), scratch_path(spark, "ready")
+    encoder, index = E.fit_encoder(docs), RD.TermIndex(docs)
+    asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+
+    def found(stage, held):
+        return RD.search_until_ready(asked, index, held, encoder).select(F.lit(stage).alias("stage"), "*")
+
+    results = [found("before", spark.createDataFrame([], "doc_id long, embedding array<float>"))]
+    for part, stage in enumerate(("amid", "after")):
+        docs.filter(F.pmod("doc_id", F.lit(2)) == part).write.mode("append").parquet(sent)
+        running = ST.start_embedding(ST.read_document_stream(spark, sent, docs.schema), encoder, out, f"{out}-state")
+        ST.wait_for_completion(running)
+        results.append(found(stage, materialize(ST.embeddings(spark, out).select("doc_id", "embedding"))))
+    merged = results[0].unionByName(results[1]).unionByName(results[2])
+    return merged.select("stage", "query_id", F.col("rank").cast("long").alias("rank"), "doc_id", "space", *rounded(6, "score"))
+
+
 def _lengths(texts):
     return np.array([[len(t)] for t in texts], dtype=np.float32)
 

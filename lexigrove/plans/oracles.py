@@ -211,6 +211,22 @@ pairs AS (SELECT item_id AS query_id, documents.doc_id,
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY greatest(distance, 0), doc_id) AS rank FROM pairs)
 SELECT query_id, rank, doc_id, round(greatest(distance, 0), 6) AS distance FROM r WHERE rank <= 5"""
 
+ORACLES["search_until_ready"] = f"""
+WITH {EMBED}, tdf AS (SELECT term, count(*) AS df FROM tf WHERE doc_id >= 0 GROUP BY term),
+tw AS (SELECT doc_id, term, tf * ln((m + 1.0::DOUBLE) / (df + 1)) AS w FROM tf JOIN tdf USING (term), m),
+tn AS (SELECT doc_id, sqrt(sum(w * w)) AS n FROM tw GROUP BY doc_id HAVING sum(w * w) > 0),
+ts AS (SELECT q.doc_id AS q, d.doc_id AS d, sum(q.w / a.n * d.w / b.n) AS score FROM tw q JOIN tw d USING (term) JOIN tn a ON a.doc_id = q.doc_id
+  JOIN tn b ON b.doc_id = d.doc_id WHERE q.doc_id < 0 AND d.doc_id >= 0 AND q.w > 0 AND d.w > 0 GROUP BY ALL),
+un AS (SELECT doc_id, sqrt(sum(value * value)) AS n FROM u GROUP BY doc_id),
+ud AS (SELECT q.doc_id AS q, d.doc_id AS d, sum(q.value * d.value) AS dot FROM u q JOIN u d USING (dim) WHERE q.doc_id < 0 AND d.doc_id >= 0 GROUP BY ALL),
+us AS (SELECT a.doc_id AS q, b.doc_id AS d, coalesce(dot, 0) / (a.n * b.n) AS score FROM un a JOIN un b ON a.doc_id < 0 AND b.doc_id >= 0
+  LEFT JOIN ud ON ud.q = a.doc_id AND ud.d = b.doc_id),
+stages AS (SELECT * FROM (VALUES ('before', 0), ('amid', 1), ('after', 2)) AS s(stage, parts)),
+hits AS (SELECT stage, 'embedding' AS space, us.* FROM us JOIN stages ON d % 2 < parts
+  UNION ALL SELECT stage, 'term', ts.* FROM ts JOIN stages ON d % 2 >= parts),
+own AS (SELECT *, row_number() OVER (PARTITION BY stage, space, q ORDER BY round(score, 12) DESC, d) AS place FROM hits),
+merged AS (SELECT *, row_number() OVER (PARTITION BY stage, q ORDER BY place, space, d) AS rank FROM own WHERE place <= 5)
+SELECT stage, -1 - q AS query_id, rank, d AS doc_id, space, round(score, 6) AS score FROM merged WHERE rank <= 5"""
 ORACLES["vector_store_stats"] = """
 SELECT label::BIGINT AS cluster_id, count(*) AS size, max(len(embedding)) AS dimension FROM embeddings GROUP BY label"""
 ORACLES["vector_store_totals"] = """
