@@ -2,7 +2,7 @@
 
 A rule is a host and the start of a path; it fits the host and its subdomains, and the longest rule decides. URLs that
 a rule decides are the labelled ones from which the trees learn (at most ``SAMPLE``, those with the smallest hashes):
-length, depth, digits, entropy, parameters, marks, and how often the host's last labels were blocked, with smoothing.
+length, depth, digits, entropy, parameters, marks, and how often labelled URLs of other folds with the host's last label were blocked, with smoothing.
 
 Defined results: a URL that is null or has no ``://`` has an empty host and path and fits no rule; every row gets a
 row. If rules label no URL, or all alike, there is nothing to learn and the rest gets the commoner verdict, ``allow`` on a tie.
@@ -26,6 +26,8 @@ SAMPLE, TREES, DEPTH, SEED = 20_000, 20, 4, 7
 ALLOW, BLOCK = "allow", "block"
 #: How many URLs' worth of the overall share a suffix starts with.
 SMOOTHING = 5.0
+#: Labelled URLs are dealt to so many folds by a hash of the URL.
+FOLDS = 5
 
 
 @dataclass(frozen=True)
@@ -108,6 +110,27 @@ def lexical_features(url: Column, host: Column, path: Column) -> dict[str, Colum
     }
 
 
+def _suffix_counts(labelled: DataFrame, is_block: Column) -> DataFrame:
+    """``(suffix, rows, blocks)``: labelled URLs and blocked ones in each fold, as arrays."""
+    def by_fold(value: Column) -> Column:
+        return F.array([F.sum(F.when(F.col("fold") == f, value).otherwise(0.0)) for f in range(FOLDS)])
+
+    return labelled.groupBy("suffix").agg(by_fold(F.lit(1.0)).alias("rows"), by_fold(is_block).alias("blocks"))
+
+
+def _suffix_share(prior: float) -> Column:
+    """How often URLs of the suffix were blocked; a labelled URL looks at the other folds only, so its label never reaches it.
+
+    Leaving out just the row itself would not do: two values a suffix, one for each label, give the label away.
+    """
+    def looked_at(name: str) -> Column:
+        everything = F.aggregate(name, F.lit(0.0), lambda a, b: a + b)
+        own = F.when(F.col("ruled").isNotNull(), F.get(name, "fold")).otherwise(0.0)
+        return F.coalesce(everything - own, F.lit(0.0))
+
+    return (looked_at("blocks") + SMOOTHING * prior) / (looked_at("rows") + SMOOTHING)
+
+
 def judge(pages: DataFrame, rules: Sequence[Rule], *, url: str = "url", page_id: str = "page_id") -> DataFrame:
     """``(page_id, host, path, rule, verdict, block_probability)``; the last is null where a rule decided. Runs jobs when called."""
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"))
@@ -119,7 +142,7 @@ def judge(pages: DataFrame, rules: Sequence[Rule], *, url: str = "url", page_id:
     rows = rows.withColumn("rule", fitting_rule(F.col("host"), F.col("path"), rules)).withColumn("ruled", verdict_of)
     suffix = F.regexp_extract("host", r"[^.]*$", 0)
     columns = lexical_features(F.col("url"), F.col("host"), F.col("path"))
-    known = materialize(rows.select("page_id", "host", "path", "rule", "ruled", suffix.alias("suffix"),
+    known = materialize(rows.select("page_id", "host", "path", "rule", "ruled", suffix.alias("suffix"), F.pmod(F.xxhash64("url"), F.lit(FOLDS)).cast("int").alias("fold"),
                                     *(c.alias(n) for n, c in columns.items())))
     is_block = (F.col("ruled") == BLOCK).cast("double")
     labelled = known.filter(F.col("ruled").isNotNull())
@@ -129,9 +152,9 @@ def judge(pages: DataFrame, rules: Sequence[Rule], *, url: str = "url", page_id:
         common = F.lit(BLOCK if n and blocked > n / 2 else ALLOW)
         return known.select(*results, F.coalesce("ruled", common).alias("verdict"), F.lit(None).cast("double").alias("block_probability"))
     prior = blocked / n
-    statistics = labelled.groupBy("suffix").agg(((F.sum(is_block) + SMOOTHING * prior) / (F.count("*") + SMOOTHING)).alias("suffix_blocked"))
+    statistics = _suffix_counts(labelled, is_block)
     statistics = broadcast_if_small(statistics)
-    full = known.join(statistics, "suffix", "left").fillna(prior, ["suffix_blocked"])
+    full = known.join(statistics, "suffix", "left").withColumn("suffix_blocked", _suffix_share(prior))
     names = [*columns, "suffix_blocked"]
     vectors = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep")
     sample = by_hash(full.filter(F.col("ruled").isNotNull()), "page_id", SAMPLE, n)
