@@ -14,7 +14,7 @@ from lexigrove.operators import (
     tfidf as T, tokens as K,
 )
 from lexigrove.plans.runtime import materialize, scratch_path, spread
-from lexigrove.sources import bucketed as B, files, tables
+from lexigrove.sources import bucketed as B, files, listed, tables
 from lexigrove.streaming import batches as SB, embed as ST, progress as SP, store as SS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,16 +151,35 @@ def corpus_rejects(spark, sf_dir):
 
 @query
 def files_roundtrip(spark, sf_dir):
-    """Every document as a text file of its own, parsed back from the folder."""
-    path = scratch_path(spark, "files")
-    documents(spark, sf_dir, "text").write.partitionBy("doc_id").text(path)
-    rows = tables.structured_documents(files.parse_directory(spark, path, ["*.txt"]), keep=("file_path",))
+    """Every document as a text file of its own, listed and parsed back from the folder."""
+    base = scratch_path(spark, "files")
+    listed.write_files(documents(spark, sf_dir, "text"), f"{base}/texts")
+    listed.refresh(spark, f"{base}/texts", f"{base}/manifest", ["*.txt"])
+    return file_rows(listed.parse_manifest(spark, f"{base}/manifest", extractors={}))
+
+
+def file_rows(parsed: DataFrame) -> DataFrame:
+    rows = tables.structured_documents(parsed, keep=("file_path",))
     return rows.select(
-        F.regexp_extract("file_path", r"doc_id=(\d+)/", 1).cast("long").alias("doc_id"), "format", "raw_text", "text",
+        F.regexp_extract("file_path", r"/(\d+)\.txt$", 1).cast("long").alias("doc_id"), "format", "raw_text", "text",
         F.col("word_count").cast("long").alias("word_count"),
     )
 
 
+@query
+def files_stream(spark, sf_dir):
+    """The same as a stream: odd ids are listed first, the others join the folder and the manifest while it runs."""
+    base, docs = scratch_path(spark, "streamed"), documents(spark, sf_dir, "text")
+    out = f"{base}/out"
+    for part in (1, 0):
+        listed.write_files(docs.filter(F.pmod("doc_id", F.lit(2)) == part), f"{base}/texts")
+        listed.refresh(spark, f"{base}/texts", f"{base}/manifest", ["*.txt"])
+        parsed = listed.stream_manifest(spark, f"{base}/manifest", extractors={})
+        running = parsed.writeStream.format("parquet").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start(out)
+        running.awaitTermination()
+    return file_rows(spark.read.schema(parsed.schema).parquet(out))
+
+
 # features
 
 @query

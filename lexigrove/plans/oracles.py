@@ -373,6 +373,7 @@ _FILES = f"(SELECT doc_id, {STRIP % 'text'} AS text FROM documents)"
 ORACLES["files_roundtrip"] = f"""
 SELECT d.doc_id, '.txt' AS format, d.text AS raw_text, c.text, {WORDS % 'd.text'} AS word_count
 FROM {_FILES} d JOIN ({ORACLES["clean_text"]}) c ON c.doc_id = d.doc_id"""
+ORACLES["files_stream"] = ORACLES["files_roundtrip"]
 ORACLES["stream_latest"] = "SELECT doc_id, length(text) AS n_chars FROM documents"
 ORACLES["store_upsert"] = ORACLES["latest_wins"]
 ORACLES["stream_progress"] = "SELECT 8 AS batches, count(*) AS processed, 0 AS waiting, count(*) AS total FROM documents"

@@ -71,7 +71,7 @@ def _extractor_column(extractors: dict[str, BytesExtractor]):
 
 
 def parse_files(files: DataFrame, *, extractors: dict[str, BytesExtractor] | None = None) -> DataFrame:
-    """Parse ``binaryFile`` rows.
+    """Parse ``binaryFile`` rows; one without content is a failed row.
 
     ``extractors`` maps suffixes (``.pdf``) to functions from bytes to text, DOCX alone by default;
     without one such a file is a failed row.
@@ -101,10 +101,12 @@ def parse_files(files: DataFrame, *, extractors: dict[str, BytesExtractor] | Non
         ).alias("metadata"),
         F.lit(None).cast("double").alias("extraction_time"),
         F.col("_other.error").alias("_problem"),
+        F.col("content").isNull().alias("_gone"),
     )
     failed = F.col("text").isNull()
     error = (
         F.when(~F.col("format").isin(SUPPORTED_FORMATS + list(extractors)), F.concat(F.lit("Unsupported format: "), "format"))
+        .when(F.col("_gone"), F.lit("file is gone"))
         .when(F.col("format") == ".json", F.lit("not a JSON object"))
         .when(F.col("_problem").isNotNull(), F.col("_problem"))
         .otherwise(F.concat(F.lit("no text extractor for "), "format"))
