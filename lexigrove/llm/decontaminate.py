@@ -11,8 +11,11 @@ A capitalised word that begins a sentence or follows a bracket, quote or line br
 reading doesn't find is looked for with windows of both readings; then the windows that are usable with all such words as
 names are those that must be covered, and the slots decide.
 
-Defined results: null or empty texts and items with fewer than ``window`` words match nothing; windows with fewer than
-``min_plain`` words that are no placeholder are not used on either side. Repeated documents are judged alike, and repeated
+Windows with fewer than ``min_plain`` words that are no placeholder are not used on either side. An item left without a window, being
+short or mostly numbers, is contained in a text that is that item as a whole: with the same template and consistent
+slots, or with the very same values if it is nothing but placeholders. Such a match counts as one window.
+
+Defined results: null texts and texts without a word match nothing. Repeated documents are judged alike, and repeated
 items each on their own. Columns other than the named ones are ignored here and passed through by ``drop_contaminated``.
 """
 
@@ -101,6 +104,37 @@ def _windows(rows: DataFrame, keys: list[str], text: str, window: int, min_plain
     return kept.select(*keys, "pos", F.xxhash64(*codes).alias("hash"), F.array(*slots).alias("slots"), at_start.alias("at_start"))
 
 
+def _whole(rows: DataFrame, keys: list[str], text: str, most: int | None = None) -> DataFrame:
+    """``(*keys, hash, n_words, slots, plain)`` of texts with a word, and at most ``most`` of them, as one window each."""
+    some = rows.filter(F.regexp_count(F.col(text), F.lit(_WORDS)).between(1, most or 2**31 - 1))
+    named = some.select(*keys, words(F.col(text)).alias("words"))
+    named = named.select(*keys, "words", templates(F.col("words")).alias("template"))
+    return named.select(
+        *keys, F.xxhash64("template").alias("hash"), F.size("words").alias("n_words"),
+        F.transform("template", lambda t, i: F.when(t.isin(PLACEHOLDERS), F.lower(F.get("words", i)))).alias("slots"),
+        F.size(F.filter("template", lambda t: ~t.isin(PLACEHOLDERS))).alias("plain"),
+    )
+
+
+def _whole_matches(ours: DataFrame, items: DataFrame, with_windows: DataFrame) -> DataFrame | None:
+    """Texts that are an item without windows; none asks for a second reading of the documents."""
+    kept = _whole(items, ["item_id", "item_text"], "item_text").select(
+        F.struct("item_id", F.xxhash64("item_text").alias("text")).alias("item"), "hash", "n_words", F.col("slots").alias("item_slots"), "plain")
+    short = broadcast_if_small(kept.join(with_windows, "item", "left_anti"), BROADCAST_WINDOWS)
+    most = short.agg(F.max("n_words")).first()[0]
+    if most is None:
+        return None
+    met = _whole(ours, ["doc_id", "text_hash"], "doc_text", most).drop("plain", "n_words").join(short, "hash")
+    pairs = F.array_distinct(F.filter(F.arrays_zip("item_slots", "slots"), lambda p: p["item_slots"].isNotNull()))
+    met = met.select("doc_id", "text_hash", "item", "plain", pairs.alias("pairs"))
+    values = F.array_distinct(F.transform("pairs", lambda p: p["item_slots"]))
+    changed = F.size(F.filter("pairs", lambda p: p["item_slots"] != p["slots"])).cast("long")
+    found = met.filter((F.size(values) == F.size("pairs")) & ((F.col("plain") > 0) | (changed == 0)))
+    one = F.lit(1).cast("long")
+    return found.select("doc_id", "text_hash", F.col("item")["item_id"].alias("item_id"), one.alias("windows"), one.alias("item_windows"),
+                        F.lit(1.0).alias("coverage"), changed.alias("slots_changed"), "item").distinct().drop("item")
+
+
 def matches(
     docs: DataFrame, benchmark: DataFrame, *, text: str = "text", doc_id: str = "doc_id", item_id: str = "item_id",
     item_text: str = "text", window: int = WINDOW, coverage: float = COVERAGE, min_plain: int = MIN_PLAIN,
@@ -159,8 +193,10 @@ def matches(
     few = asked.count() <= BROADCAST_WINDOWS
     either = found(met.filter("plain"), 0, "plain_windows").unionByName(found(met.filter("usable"), 1, "usable_windows"))
     best = either.groupBy(*keys, "item").agg(F.min("match").alias("match")).select(*keys, "item", "match.*")
-    return best.select(*keys, F.col("item")["item_id"].alias("item_id"), "windows", "item_windows",
+    best = best.select(*keys, F.col("item")["item_id"].alias("item_id"), "windows", "item_windows",
                        (F.col("windows") / F.col("item_windows")).alias("coverage"), "slots_changed")
+    whole = _whole_matches(ours, items, sizes.select("item"))
+    return best if whole is None else best.unionByName(whole)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:

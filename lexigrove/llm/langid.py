@@ -5,8 +5,8 @@ all ways to cut it into pieces, by a forward recursion over its letters, and tha
 probabilities are estimated by expectation-maximisation: forward-backward expected counts over the words of a sample of
 about ``SAMPLE`` distinct texts per language, chosen by text hash. All of it runs in blocks of words of one length.
 
-Words are runs of letters in lower case behind a start mark; runs of over ``LONGEST`` letters are scored in parts. A letter
-that is no piece has one fixed probability in every language.
+Words are runs of letters in lower case behind a start mark. Runs of over ``LONGEST`` letters take the same recursion by
+logarithms, one at a time, and teach in parts of that length. A letter that is no piece has one fixed probability in every language.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0, so is every text if nothing could be
 learned. Equal scores take the first language in order. Every row gets a row; other columns are ignored.
@@ -14,7 +14,7 @@ learned. Equal scores take the first language in order. Every row gets a row; ot
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import defaultdict, deque
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -102,6 +102,18 @@ class Pieces:
             out[places] = np.log(self.forward(n, table, chances)[n])
         return out
 
+    def log_chance_of_long(self, word: str, logs: np.ndarray) -> np.ndarray:
+        """The same for one word of any length, with log probabilities; only the last ``longest`` sums are held."""
+        marked = START + word
+        last = deque([np.zeros(logs.shape[1])], maxlen=self.longest)
+        for j in range(1, len(marked) + 1):
+            first = j - len(last)
+            found = [self.number.get(marked[i:j], self.size - 2 if i == j - 1 else self.size - 1) for i in range(first, j)]
+            terms = np.array([a + logs[k] for a, k in zip(last, found, strict=True) if k != self.size - 1])
+            top = terms.max(0)
+            last.append(top + np.log(np.exp(terms - top).sum(0)))
+        return last[-1]
+
 
 def estimate(counts: dict[str, dict[str, int]], pieces: Pieces, rounds: int = ROUNDS) -> tuple[list[str], np.ndarray]:
     """``(languages, chances)`` from words counted per language."""
@@ -165,6 +177,8 @@ class Scorer:
 
     def __init__(self, pieces: Sequence[str], languages: Sequence[str], chances: np.ndarray):
         self.pieces, self.languages, self.chances = Pieces(pieces), list(languages), chances
+        with np.errstate(divide="ignore"):
+            self.logs = np.log(chances)
         self._reset()
 
     def _reset(self) -> None:
@@ -184,16 +198,19 @@ class Scorer:
         self.places.update(zip(new, range(start, start + len(new)), strict=True))
 
     def predict(self, texts: Sequence[str | None]) -> tuple[list[str], list[float]]:
-        cut = [_parts(words_of(t)) for t in texts]
+        cut = [words_of(t) for t in texts]
         if self.languages:
-            self._learn([w for words in cut for w in words])
+            self._learn([w for words in cut for w in words if len(w) <= LONGEST])
         names, scores = [], []
         for words in cut:
             if not words or not self.languages:
                 names.append("und")
                 scores.append(0.0)
                 continue
-            total = self.known[np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))].sum(0)
+            usual = [self.places[w] for w in words if len(w) <= LONGEST]
+            total = self.known[usual].sum(0)
+            if len(usual) < len(words):
+                total = total + sum(self.pieces.log_chance_of_long(w, self.logs) for w in words if len(w) > LONGEST)
             best = int(total.argmax())
             names.append(self.languages[best])
             scores.append(float(1 / np.exp(total - total[best]).sum()))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from lexigrove.llm.decontaminate import COVERAGE, MIN_PLAIN, UNITS, WINDOW
 
+_HOLDS = "IN ('<number>', '<unit>', '<name>')"
 _UNITS = ", ".join(f"'{u}'" for u in UNITS)
 
 
@@ -17,12 +18,11 @@ def _templates(table: str, key: str) -> str:
 
 
 def _windows(table: str, key: str) -> str:
-    holds = "IN ('<number>', '<unit>', '<name>')"
     return f"""
   (SELECT {key}, text, pos, array_to_string(template[pos : pos + {WINDOW - 1}], ' ') AS win,
-     list_transform(template[pos : pos + {WINDOW - 1}], lambda t, i: CASE WHEN t {holds} THEN lower(words[pos + i - 1]) END) AS slots
+     list_transform(template[pos : pos + {WINDOW - 1}], lambda t, i: CASE WHEN t {_HOLDS} THEN lower(words[pos + i - 1]) END) AS slots
    FROM (SELECT *, unnest(range(1, len(words) - {WINDOW - 2})) AS pos FROM {_templates(table, key)})
-   WHERE len(list_filter(template[pos : pos + {WINDOW - 1}], lambda t: NOT (t {holds}))) >= {MIN_PLAIN})"""
+   WHERE len(list_filter(template[pos : pos + {WINDOW - 1}], lambda t: NOT (t {_HOLDS}))) >= {MIN_PLAIN})"""
 
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -51,7 +51,16 @@ found AS (SELECT f.doc_id, f.text, f.item_id, f.item_text, count(DISTINCT item_p
   ON m.doc_id = f.doc_id AND m.text = f.text AND m.item_id = f.item_id AND m.item_text = f.item_text AND m.shift = f.shift GROUP BY ALL)
 SELECT doc_id, item_id, windows, item_windows, windows::DOUBLE / item_windows AS coverage, slots_changed
 FROM found JOIN best USING (doc_id, text, item_id, item_text) JOIN sizes USING (item_id, item_text)
-WHERE windows::DOUBLE / item_windows >= {COVERAGE}""",
+WHERE windows::DOUBLE / item_windows >= {COVERAGE}
+UNION ALL SELECT doc_id, item_id, 1, 1, 1.0, changed FROM
+  (SELECT *, list_distinct(list_filter(list_zip(was, now), lambda p: p[1] IS NOT NULL)) AS pairs, len(list_filter(pairs, lambda p: p[1] <> p[2])) AS changed
+   FROM (SELECT o.doc_id, o.text, a.item_id, a.text AS item_text, a.template,
+     list_transform(a.template, lambda t, i: CASE WHEN t {_HOLDS} THEN lower(a.words[i]) END) AS was,
+     list_transform(o.template, lambda t, i: CASE WHEN t {_HOLDS} THEN lower(o.words[i]) END) AS now
+     FROM {_templates('documents', 'doc_id')} o JOIN {_templates('benchmark', 'item_id')} a ON o.template = a.template
+     WHERE len(a.words) > 0 AND NOT EXISTS (SELECT 1 FROM sizes s WHERE s.item_id = a.item_id AND s.item_text = a.text)))
+  WHERE len(list_distinct(list_transform(pairs, lambda p: p[1]))) = len(pairs)
+    AND (changed = 0 OR len(list_filter(template, lambda t: NOT (t {_HOLDS}))) > 0)""",
     "op11_source_divergence": rf"""
 WITH docs AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, translate(coalesce(text, ''), {_LOWER}) AS body FROM documents),
 word AS (SELECT id, lang, source, unnest(regexp_extract_all(body, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -12,6 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from lexigrove.llm import bpe, decontaminate, fuzzyhash, langid, pii, quality, shards, shingles, simhash, toxicity, urls
+from lexigrove.llm.oracles import LLM_ORACLES
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string, fingerprint string, _row string"
@@ -119,6 +121,36 @@ def test_names_that_begin_a_sentence_are_slots(spark):
     assert left == {4, 5, None}
 
 
+def test_short_items_are_found_as_whole_texts(spark, odd, nothing):
+    asked = spark.createDataFrame(
+        [(1, "What is 12 + 7 * 3?"), (2, "Who painted Guernica?"), (3, "12 + 7"), (4, ""), (5, None), (6, "Add 3 to 3."), (None, "Define entropy")],
+        "item_id long, text string")
+    texts = ["What is 12 + 7 * 3?", "what is 5, 6, 8", "Who painted Guernica?", "Who painted Lisbon?", "who sold Guernica", "7 + 12", "12+7", "",
+             None, "Add 9 to 9", "Add 9 to 8", "DEFINE  entropy", "What is 12 + 7 * 3? Nobody knows what that is, says everyone.", "What is 12 + 7 * 3?"]
+    docs = spark.createDataFrame([(min(i, 12), t, "x") for i, t in enumerate(texts)], "doc_id long, text string, item_id string")
+    found = [(r["doc_id"], r["item_id"], r["slots_changed"]) for r in decontaminate.matches(docs, asked).collect()]
+    assert sorted(found, key=str) == sorted(
+        [(0, 1, 0), (1, 1, 3), (2, 2, 0), (3, 2, 1), (6, 3, 0), (9, 6, 1), (11, None, 0), (12, 1, 0)], key=str)
+    left = decontaminate.drop_contaminated(docs, asked)
+    assert [r["doc_id"] for r in left.orderBy("doc_id").collect()] == [4, 5, 7, 8, 10, 12] and left.columns == docs.columns
+    assert ids(decontaminate.drop_contaminated(odd, asked)) == ALL_IDS
+    assert decontaminate.drop_contaminated(nothing, asked).count() == 0
+
+
+def test_sql_of_decontamination_states_short_items(spark, tmp_path):
+    items = [(1, "What is 12 + 7 * 3?"), (2, "Who painted Guernica?"), (3, "12 + 7"), (4, "A train leaves at 9 and travels 120 km in 3 hours how fast")]
+    texts = ["what is 1 2 3", "what is 1 2 1", "Who painted Guernica", "7 + 12", "12 7", "a train leaves at 8 and travels 90 km in 5 hours how fast", "", "Who knows?"]
+    spark.createDataFrame(items, "item_id long, text string").createOrReplaceTempView("benchmark")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    ours = decontaminate.matches(docs, spark.table("benchmark")).drop("text_hash").collect()
+    held = duckdb.connect()
+    held.execute("CREATE TABLE benchmark (item_id BIGINT, text VARCHAR); CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    held.executemany("INSERT INTO benchmark VALUES (?, ?)", items)
+    held.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    assert sorted(map(tuple, ours)) == sorted(held.execute(LLM_ORACLES["op2_decontaminate"]).fetchall())
+    assert {r["doc_id"] for r in ours} == {0, 1, 2, 4, 5}
+
+
 # toxicity
 
 def test_marginals_are_those_of_all_labelings(monkeypatch):
@@ -198,6 +230,23 @@ def test_forward_sums_all_segmentations():
         assert np.allclose(row, np.log(sum(every("▁" + word))))
 
 
+def test_long_runs_of_letters_are_summed_over_all_segmentations():
+    draw = np.random.default_rng(3)
+    pieces = langid.Pieces(sorted({langid.START, "a", "b", "ab", "ba", "aab", langid.START + "a", "babb"}))
+    chances = draw.random((pieces.size, 3)) / 20
+    chances[-2:] = [[langid.UNKNOWN] * 3, [0] * 3]
+    with np.errstate(divide="ignore"):
+        logs = np.log(chances)
+    for word in ("a", "abba", "abxab", "ab" * 20):
+        assert np.allclose(pieces.log_chance_of_long(word, logs), pieces.log_chances([word], chances)[0])
+    scorer = langid.Scorer(sorted(pieces.number), ["x", "y", "z"], chances)
+    long = "ab" * 30 + "c" + "ba" * 3000
+    assert np.isfinite(pieces.log_chance_of_long(long, logs)).all()
+    names, scores = scorer.predict([long, "ab", f"ab {long}", None])
+    totals = pieces.log_chance_of_long(long, logs)
+    assert names[0] == names[2] == "xyz"[totals.argmax()] and names[3] == "und" and 0 < scores[0] <= 1
+
+
 def test_language_held_out_and_odd_rows(spark, odd, nothing):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = langid.fit(docs.filter("doc_id % 3 <> 1"), RANKS)
