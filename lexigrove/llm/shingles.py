@@ -29,6 +29,8 @@ FREQUENT, SAMPLED = 100_000, 8
 #: Shingles that a task gathers before it passes them on.
 FLUSH = 1 << 19
 
+#: Texts of a shingle that all others there are tried with in the first turn, turns, and how many pairs a link may cost for another one.
+CENTRES, TURNS, WORTH = 16, 4, 100
 #: Cells of a profile; a cell counts up to 254, more stands for any number.
 CELLS, MANY = 256, 255
 
@@ -206,15 +208,53 @@ def _stars(index: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, "a long, b long")
 
 
+def _open(index: DataFrame, roots: DataFrame) -> DataFrame:
+    """The index with each text's group; a shingle all of whose texts lie in one group has nothing to compare and goes."""
+    known = index.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    several = known.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("h")
+    return known.join(several, "h", "left_semi")
+
+
+def _centred(index: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
+    """``(a, b)``: each text of a shingle with the turn's centres of other groups there, those with the most indexed shingles first.
+
+    A turn has twice as many centres as the one before it, and other ones.
+    """
+    first, last = CENTRES * (2**turn - 1), CENTRES * (2 ** (turn + 1) - 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            if held is not None:
+                columns = [np.concatenate([a, b]) for a, b in zip(held, columns, strict=True)]
+            h, node, n, pos, root = columns
+            if not len(h):
+                continue
+            n, left = n.astype(np.int64), n.astype(np.int64) - pos
+            edges = np.concatenate([[0], np.flatnonzero(h[1:] != h[:-1]) + 1])
+            starts, rows = np.repeat(edges, np.diff(np.append(edges, len(h)))), np.arange(len(h))
+            for c in range(first, last):
+                j = np.flatnonzero(starts + c < rows)
+                if not len(j):
+                    break
+                i = starts[j] + c
+                good = (root[i] != root[j]) & (9 * np.minimum(left[i], left[j]) >= 4 * (n[i] + n[j]))
+                yield pa.RecordBatch.from_arrays([pa.array(node[i[good]]), pa.array(node[j[good]])], ["a", "b"])
+            held = [c[edges[-1] : edges[-1] + last] for c in columns]
+
+    # a text that others are changed copies of shares more of its first shingles than they do
+    degrees = index.groupBy("node").agg(F.count("*").alias("degree"))
+    rows = _open(index, roots).join(degrees, "node").select("h", "node", "n", "pos", "root", "degree")
+    rows = rows.repartition("h").sortWithinPartitions("h", F.desc("degree"), "node").drop("degree")
+    return rows.mapInArrow(run, "a long, b long")
+
+
 def _across(index: DataFrame, roots: DataFrame) -> DataFrame:
     """``(a, b)``: texts of different groups that share an indexed shingle and can be alike by their sizes and positions."""
     sizes = index.groupBy("h").agg(F.count("*").alias("rows")).filter(F.col("rows") > BLOCK)
     sizes = materialize(sizes.select("h", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks")))
-    known = index.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    # a shingle all of whose texts lie in one group has nothing to compare
-    several = known.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("h")
-    known = known.join(several, "h", "left_semi")
-    cut = known.join(sizes, "h", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    cut = _open(index, roots).join(sizes, "h", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     cut = cut.withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cut = cut.select("h", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "n", "pos", "root")
@@ -296,11 +336,21 @@ def alike(docs: DataFrame, nodes: DataFrame, proposed: DataFrame, words_of, *, t
     """``(node, other)``: links whose components are those of all pairs of sets alike to 0.8.
 
     ``nodes`` has ``(node, text_hash, n, profile)``, one text of each set; ``proposed`` has pairs of nodes that may be alike. Those and the
-    neighbours in the index are verified first; what then lies in one group needn't be compared any more.
+    neighbours in the index are verified first; what then lies in one group needn't be compared any more. A group whose texts are alike
+    in few of its pairs, as changed copies of one text are, would be left in parts, so all texts of a shingle meet its likely centres, in up to ``TURNS`` turns as long as one pair in ``WORTH`` is a link. All pairs that are still in different groups are
+    compared at the end, so these numbers decide no result.
     """
     index = _index(docs, text, words_of)
     tried = materialize(_pairs(proposed.toDF("a", "b").union(_stars(index))))
     found = _verified(materialize(_plausible(tried, nodes)), docs, nodes, text, words_of)
+    asked, links = tried.count(), found.count()
+    for turn in range(TURNS):
+        if links * WORTH < asked or not asked:
+            break
+        more = materialize(_pairs(_centred(index, connected_components(found), turn)).join(tried, ["a", "b"], "left_anti"))
+        good = _verified(materialize(_plausible(more, nodes)), docs, nodes, text, words_of)
+        found, tried = found.union(good), tried.union(more)
+        asked, links = more.count(), good.count()
     rest = _pairs(_across(index, connected_components(found))).join(tried, ["a", "b"], "left_anti")
     rest = materialize(_plausible(rest, nodes))
     if not rest.isEmpty():

@@ -371,6 +371,29 @@ def test_near_copies_are_those_of_exact_similarity(spark, documents, monkeypatch
     assert ids(simhash.keep_one(documents)) == brute_kept(given)
 
 
+def test_changed_copies_of_one_text_meet_at_centres(spark, monkeypatch):
+    draw, base, rows = random.Random(4), [f"w{i}" for i in range(300)], []
+    for _ in range(400):
+        words = list(base)
+        for at in draw.sample(range(len(words)), 6):
+            words[at] = f"x{draw.random()}"
+        rows.append(" ".join(words))
+    rows.append(" ".join(base))
+    sets = [shingles.shingle_set(shingles.word_hashes([w.encode() for w in r.split()])) for r in rows]
+    alike = sum(9 * len(np.intersect1d(p, q)) >= 4 * (len(p) + len(q)) for p, q in itertools.combinations(sets[:60], 2))
+    assert alike < 60 * 59 / 2 / 3  # most copies are like the text itself only
+    asked, plausible = [], shingles._plausible
+
+    def counted(pairs, nodes):
+        asked.append(pairs.count())
+        return plausible(pairs, nodes)
+
+    monkeypatch.setattr(shingles, "_plausible", counted)
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    assert [r["doc_id"] for r in simhash.keep_one(docs).collect()] == [0]
+    assert sum(asked) < 401 * 400 / 2 / 4
+
+
 def test_rows_beyond_the_last_cut_are_all_compared(spark, monkeypatch):
     monkeypatch.setattr(simhash, "BUCKET", 4)
     monkeypatch.setattr(simhash, "deeper", lambda mask, max_bits: [])
