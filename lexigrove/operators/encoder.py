@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import HashingTF, IDF, Normalizer
 from pyspark.ml.functions import predict_batch_udf
@@ -52,15 +52,18 @@ def embed(
         encoded = encoder.transform(_with_tokens(texts, text))
         return encoded.select(*kept, V.to_array("_unit").cast("array<float>").alias("embedding"))
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            for start in range(0, len(part), batch_size):
-                batch = part.iloc[start : start + batch_size]
-                vectors = np.asarray(encoder(batch[text].fillna("").tolist()), dtype=np.float32)
-                yield batch[kept].assign(embedding=list(vectors))
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema if f.name != text)
-    return texts.mapInPandas(run, f"{fields}, embedding array<float>" if fields else "embedding array<float>")
+            texts = [t or "" for t in part.column(text).to_pylist()]
+            vectors = [np.asarray(encoder(texts[at : at + batch_size]), dtype=np.float32) for at in range(0, len(texts), batch_size)]
+            widths = np.repeat([v.shape[1] for v in vectors], [len(v) for v in vectors]) if vectors else np.empty(0, np.int64)
+            ends = pa.array(np.cumsum([0, *widths]).astype(np.int32))
+            flat = pa.array(np.concatenate([np.empty(0, np.float32), *(v.ravel() for v in vectors)]))
+            # the other columns are handed on as they came: as Python objects, structs and times would take most of the time
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), pa.ListArray.from_arrays(ends, flat)], [*kept, "embedding"])
+
+    fields = [f for f in texts.schema.fields if f.name != text]
+    return texts.mapInArrow(run, T.StructType([*fields, T.StructField("embedding", T.ArrayType(T.FloatType()))]))
 
 
 def embed_with_model(
