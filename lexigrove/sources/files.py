@@ -93,9 +93,10 @@ def parse_files(files: DataFrame, *, extractors: dict[str, BytesExtractor] | Non
         (_extractor_column(extractors) if extractors else nothing).alias("_other"),
     )
     text = F.coalesce("_plain", X.json_document_text(F.col("_json")), F.col("_other.text"))
+    # the outer generator keeps a filter on success from decoding every text a second time
     parsed = decoded.select(
         F.xxhash64("file_path").alias("doc_id"), "file_path", "file_name", "file_size", "format",
-        text.alias("text"),
+        F.explode_outer(F.array(text)).alias("text"),
         F.coalesce(
             X.json_document_metadata(F.col("_json")), F.create_map().cast("map<string,string>")
         ).alias("metadata"),

@@ -32,10 +32,14 @@ from lexigrove.operators.running import running_totals
 from lexigrove.plans.runtime import broadcast_if_small, materialize
 from lexigrove.sources import files
 
-#: Bytes of a bin, and what opening a file adds to its size.
-BIN_BYTES, OPEN_BYTES = 128 << 20, 1 << 20
+#: Bytes of a bin, and what opening a file adds to its size: a bin of small files holds about a thousand.
+BIN_BYTES, OPEN_BYTES = 128 << 20, 128 << 10
+#: Bins for each core at least, as long as there are so many files.
+BINS_PER_CORE = 2
 #: Bins whose file names share a folder of the manifest.
 BINS_PER_SLICE = 256
+#: Bytes of a row group of the manifest; a task reads those with its bin.
+ROW_GROUP_BYTES = 1 << 20
 #: Bytes that a task hands over at once.
 BATCH_BYTES = 16 << 20
 
@@ -123,7 +127,10 @@ def refresh(
     spark: SparkSession, directory: str, manifest: str, patterns: list[str] | None = None, *, recursive: bool = True,
     bin_bytes: int = BIN_BYTES,
 ) -> int:
-    """Add the files that no version holds with their size and time; returns the last version, which stays if nothing is new."""
+    """Add the files that no version holds with their size and time; returns the last version, which stays if nothing is new.
+
+    Bins hold fewer than ``bin_bytes`` where there would be too few of them for all cores.
+    """
     listed = list_files(spark, directory, patterns, recursive=recursive)
     known = _commits(manifest)
     if known:
@@ -132,12 +139,15 @@ def refresh(
     if listed.isEmpty():
         return known[-1].version if known else 0
     cost = (F.col("length") + OPEN_BYTES).alias("cost")
+    total = listed.agg(F.sum(F.col("length") + OPEN_BYTES)).first()[0]
+    bin_bytes = max(1, min(bin_bytes, total // (BINS_PER_CORE * spark.sparkContext.defaultParallelism)))
     placed = running_totals(listed.select("*", cost), "cost", ["path"])
     binned = placed.select("path", "length", "modified", F.floor((F.col("cumulative") - F.col("cost")) / bin_bytes).cast("int").alias("bin"))
     binned = materialize(binned.withColumn("slice", F.floor(F.col("bin") / BINS_PER_SLICE).cast("int")))
     version = _next_version(manifest)
     slices, bins = binned.agg(F.max("slice"), F.max("bin")).first()
-    binned.repartition(slices + 1, "slice").write.partitionBy("slice").parquet(f"{manifest}/files/version={version}")
+    sliced = binned.repartition(slices + 1, "slice").sortWithinPartitions("slice", "bin")
+    sliced.write.option("parquet.block.size", ROW_GROUP_BYTES).partitionBy("slice").parquet(f"{manifest}/files/version={version}")
     spark.createDataFrame([(version, bins + 1)], "version int, bins int").coalesce(1).write.parquet(f"{manifest}/commits/{version}")
     return version
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexigrove.plans import catalog
 from lexigrove.plans.runtime import scratch_path
-from lexigrove.sources import files, listed
+from lexigrove.sources import files, listed, tables
 
 
 def texts(parsed):
@@ -69,6 +69,26 @@ def test_bins_hold_about_the_stated_bytes_and_every_file_once(spark, tmp_path):
     assert read.rdd.getNumPartitions() == len(per_bin) and read.count() == 40
 
 
+def test_small_files_share_a_bin_and_few_files_use_all_cores(spark, tmp_path):
+    root, manifest = tmp_path / "docs", str(tmp_path / "m")
+    root.mkdir()
+    for i in range(400):
+        (root / f"{i:03}.txt").write_text("x" * 10)
+    assert 900 < listed.BIN_BYTES // (listed.OPEN_BYTES + 3000) < 1100
+    listed.refresh(spark, str(root), manifest)
+    bins = [r["count"] for r in spark.read.parquet(f"{manifest}/files").groupBy("bin").count().collect()]
+    least = listed.BINS_PER_CORE * spark.sparkContext.defaultParallelism
+    assert sum(bins) == 400 and least <= len(bins) <= 2 * least and max(bins) <= 2 * min(bins) + 1
+
+
+def test_texts_are_decoded_once_where_failed_rows_go(spark, folder, tmp_path):
+    listed.refresh(spark, str(folder), str(tmp_path / "m"))
+    parsed = tables.structured_documents(listed.parse_manifest(spark, str(tmp_path / "m"), extractors={}))
+    # stripping takes two replacements, cleaning two more
+    assert parsed._jdf.queryExecution().executedPlan().toString().split("(1) Scan")[0].count("regexp_replace(") == 4
+    assert {r.raw_text for r in parsed.collect()} == {"one", "two", "three", "four", "five", ""}
+
+
 def test_versions_hold_what_is_new_or_changed(spark, folder, tmp_path):
     manifest = str(tmp_path / "m")
     assert listed.refresh(spark, str(folder), manifest) == 1
