@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from lexigrove.operators import readiness
 from lexigrove.operators.readiness import EMBEDDING, TERM, TermIndex, search_until_ready
 
 DOCS = [(1, "apple orchard harvest"), (2, "apple cider"), (3, "river bridge stone"), (4, None), (5, "apple apple orchard"), (6, "apple cider")]
@@ -54,3 +55,15 @@ def test_empty_sides(spark, index, lengths):
     assert search_until_ready(asked(spark, "apple").limit(0), index, held(spark, [(1, [1.0, 0.0])]), lengths).count() == 0
     nothing = TermIndex(spark.createDataFrame([], "doc_id long, text string"))
     assert search_until_ready(asked(spark, "apple"), nothing, held(spark, []), lengths).count() == 0
+
+
+def test_a_row_a_document_and_blocks_of_queries(spark, index, monkeypatch):
+    """Postings never become rows of query and document: the index has a row a document, and a task gives at most k rows a query."""
+    assert index.weights.count() == 5
+    texts = ("apple cider", "orchard", "apple orchard harvest", "river bridge")
+    whole = index.search(asked(spark, *texts), 2)
+    monkeypatch.setattr(readiness, "BROADCAST_BYTES", 60)
+    monkeypatch.setattr(readiness, "CHUNK_CELLS", 3)
+    key = lambda r: (r.query_id, r.rank, r.doc_id, round(r.score, 9))
+    assert sorted(map(key, index.search(asked(spark, *texts), 2).collect())) == sorted(map(key, whole.collect()))
+    assert [d for q, _, d, _ in sorted(map(key, whole.collect())) if q == 0] == [2, 6]
