@@ -19,6 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from lexigrove.llm.components import connected_components
+from lexigrove.llm.wordstream import build_sieve, passing
 from lexigrove.plans.runtime import materialize
 
 WORDS = 5
@@ -31,6 +32,8 @@ FLUSH = 1 << 19
 
 #: Texts of a shingle that all others there are tried with in the first turn, turns, and how many pairs a link may cost for another one.
 CENTRES, TURNS, WORTH = 16, 4, 100
+#: Texts that are compared with a hub in one task, and how much wider than usual a sieve is that keeps texts in their place.
+LEAVES, WIDE = 256, 4
 #: Cells of a profile; a cell counts up to 254, more stands for any number.
 CELLS, MANY = 256, 255
 
@@ -295,36 +298,52 @@ def _across(index: DataFrame, roots: DataFrame) -> DataFrame:
     return cut.repartition("h", "x", "y").sortWithinPartitions("h", "x", "y", "n", "node").mapInArrow(run, "a long, b long")
 
 
+def _cells(pairs: DataFrame) -> DataFrame:
+    """``(hub, chunk, leaf)``: each pair by its end with the most pairs; a hub's leaves are dealt to chunks of about ``LEAVES``."""
+    degrees = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
+    ends = [degrees.select(F.col("node").alias(c), F.col("degree").alias(f"degree_{c}")) for c in ("a", "b")]
+    both = pairs.join(ends[0], "a").join(ends[1], "b")
+    first = F.col("degree_a") >= F.col("degree_b")
+    both = both.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("leaf"),
+                       F.ceil(F.greatest("degree_a", "degree_b") / LEAVES).alias("chunks"))
+    return both.select("hub", F.pmod(F.xxhash64("leaf"), "chunks").cast("int").alias("chunk"), "leaf")
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text: str, words_of) -> DataFrame:
-    """The ``pairs`` whose whole sets are alike to 0.8."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    texts = materialize(nodes.join(wanted, "node", "left_semi").select("text_hash"))
+    """The ``pairs`` whose whole sets are alike to 0.8.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(parts):
-            node, sets = zip(*parts, strict=True)
-            edges = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(node, pa.int64()), pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(sets)))], ["node", "set"])
+    A text moves to the cells of its pairs, where the hub's set is held and its leaves pass by. No set is stored or paired as a row, and
+    only texts that a sieve lets through leave their place, so the documents are never shuffled as a whole.
+    """
+    cells = _cells(pairs)
+    places = cells.select(F.col("leaf").alias("node"), "hub", "chunk").union(cells.select(F.col("hub").alias("node"), "hub", "chunk").distinct())
+    places = places.join(nodes.select("node", "text_hash"), "node").groupBy("text_hash", "node").agg(F.collect_list(F.struct("hub", "chunk")).alias("places"))
+    places = materialize(places)
+    sieve = build_sieve(places, "text_hash", WIDE * places.count())
 
-        parts, held = [], 0
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell = held = None
         for batch in batches:
-            for node, shingles in _sets(batch, words_of):
-                parts.append((node, shingles))
-                held += len(shingles)
-                if held > FLUSH:
-                    yield out(parts)
-                    parts, held = [], 0
-        if parts:
-            yield out(parts)
+            a, b = [], []
+            for hub, chunk, node, value in zip(*batch.columns, strict=True):
+                hub, chunk, node = hub.as_py(), chunk.as_py(), node.as_py()
+                shingles = shingle_set(word_hashes(words_of(value.as_py())))
+                if node_of(shingles) != node:  # another text with the same hash
+                    continue
+                if node == hub:
+                    cell, held = (hub, chunk), shingles
+                elif cell == (hub, chunk):
+                    common = len(np.intersect1d(held, shingles, assume_unique=True))
+                    if 9 * common >= 4 * (len(held) + len(shingles)):
+                        a.append(min(hub, node))
+                        b.append(max(hub, node))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    some = docs.select(F.col(text).alias("_text"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_hash"))
-    some = some.join(texts, "text_hash", "left_semi").select("_text")
-    sets = materialize(some.mapInArrow(run, "node long, set array<long>").dropDuplicates(["node"]))
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("p")), "a")
-    both = both.join(sets.select(F.col("node").alias("b"), F.col("set").alias("q")), "b")
-    common = F.size(F.array_intersect("p", "q")).cast("long")
-    return materialize(both.filter(9 * common >= 4 * (F.size("p") + F.size("q"))).select("a", "b"))
+    some = docs.select(F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_hash"), F.coalesce(text, F.lit("")).alias("_text"))
+    some = some.filter(passing(sieve, F.col("text_hash"))).distinct().join(places, "text_hash")
+    some = some.select("node", "_text", F.explode("places").alias("_place")).select("_place.*", "node", "_text")
+    ordered = some.repartition("hub", "chunk").sortWithinPartitions("hub", "chunk", F.col("node") != F.col("hub"), "node")
+    return materialize(ordered.mapInArrow(run, "a long, b long"))
 
 
 def _pairs(links: DataFrame) -> DataFrame:

@@ -28,7 +28,8 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from lexigrove.llm import shingles
 from lexigrove.llm.components import connected_components
-from lexigrove.plans.runtime import materialize, scratch_scope
+from lexigrove.llm.wordstream import build_sieve, passing
+from lexigrove.plans.runtime import materialize, scratch_scope, shuffles_deleted
 
 #: Rows of one variant that a task compares directly; beyond it the variant is cut further.
 BUCKET = 1024
@@ -322,12 +323,18 @@ def near_copies(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id")
 
 
 def keep_one(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``docs`` with one row of each group of near copies, all columns as they were."""
-    with scratch_scope(docs.sparkSession):
+    """``docs`` with one row of each group of near copies, all columns as they were.
+
+    A row whose text is in no row that goes or comes twice stays without being moved; a sieve finds these.
+    """
+    with scratch_scope(docs.sparkSession), shuffles_deleted(docs.sparkSession):
         marked = near_copies(docs, text=text, doc_id=doc_id)
-        gone = marked.filter("not first").select(F.col(doc_id).alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-        gone = materialize(gone, outlive=True)
+        keys = marked.groupBy(F.col(doc_id).alias("_id"), F.col("text_hash").alias("_hash")).agg((~F.min("first")).alias("gone"), F.count("*").alias("n"))
+        unsure = materialize(keys.filter("gone or n > 1").select("_id", "_hash", "gone"), outlive=True)
+        sieve = build_sieve(unsure, "_hash", shingles.WIDE * unsure.count())
     packed = docs.select(F.struct("*").alias("_row"), F.col(doc_id).alias("_key"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("_text"))
-    left = packed.join(gone, (F.col("_text") == F.col("_hash")) & F.col("_key").eqNullSafe(F.col("_id")), "left_anti")
+    packed = packed.withColumn("_unsure", passing(sieve, F.col("_text")))
+    left = packed.filter("_unsure").join(unsure.filter("gone"), (F.col("_text") == F.col("_hash")) & F.col("_key").eqNullSafe(F.col("_id")), "left_anti")
     once = Window.partitionBy("_text", "_key").orderBy(F.xxhash64(F.col("_row").cast("string")))
-    return left.withColumn("_n", F.row_number().over(once)).filter("_n = 1").select("_row.*")
+    left = left.withColumn("_n", F.row_number().over(once)).filter("_n = 1")
+    return packed.filter("not _unsure").select("_row.*").unionByName(left.select("_row.*"))

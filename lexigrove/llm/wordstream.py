@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 #: Bytes of text that are split into words at a time, longer single texts apart.
 SLICE_BYTES = 1 << 22
@@ -70,3 +70,15 @@ def build_sieve(keys: DataFrame, hashed: str, count: int) -> Broadcast:
     bitmap = np.zeros(bits // 64, np.uint64)
     bitmap[table["word"].to_numpy()] = table["bits"].to_numpy().view(np.uint64)
     return keys.sparkSession.sparkContext.broadcast(bitmap)
+
+
+def passing(sieve: Broadcast, hashed: Column) -> Column:
+    """Whether the sieve lets the long column through; the rows themselves stay where they are."""
+
+    @F.arrow_udf("boolean")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        kept = Sieve(sieve.value)
+        for hashes in batches:
+            yield pa.array(kept.passes(hashes.to_numpy(zero_copy_only=False).view(np.uint64)))
+
+    return run(hashed)
